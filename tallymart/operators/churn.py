@@ -135,9 +135,11 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [c for c in (*NUMERIC_FEATURES, *dummies) if c not in exclude]
 
 
-def assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Feature columns as DOUBLE with NULL read as 0."""
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns})
+def assemble(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
+    """Feature columns as DOUBLE with NULL read as 0, in place or beside the originals."""
+    return df.withColumns(
+        {prefix + c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
+    )
 
 
 def split_flag(key: str = "customer_id", share: float = TEST_SHARE, seed: int = SEED) -> Column:
@@ -227,7 +229,7 @@ def coefficients(model: LogisticRegressionModel, columns: Sequence[str], spark)
 
 
 class ChurnRun:
-    """One training run: pinned features, the fitted model and its outputs."""
+    """One training run: the pinned feature table, the fitted model and its outputs."""
 
     def __init__(
         self,
@@ -242,21 +244,22 @@ class ChurnRun:
         base = pin(churn_features(lifetime, customers, snapshot))
         encoded = one_hot(base, CHANNEL)
         self.columns = feature_columns(encoded, exclude)
-        self.features = base
-        matrix = assemble(encoded, self.columns)
+        inputs = [f"x_{c}" for c in self.columns]
+        matrix = assemble(encoded, self.columns, "x_")
         train, _ = stratified_split(matrix, share=share, seed=seed)
-        # Scaled once for training, testing and scoring alike.
+        # Scaled once for training, testing and scoring alike; the plain columns
+        # stay beside the scaled ones, so nothing is joined back afterwards.
         scaled = pin(
-            standardize(matrix, train, self.columns).withColumn(
+            standardize(matrix, train, inputs).withColumn(
                 "is_test", split_flag(share=share, seed=seed)
             )
         )
-        self.model = fit_churn(scaled.where(~F.col("is_test")), self.columns)
-        self._scored = score_churn(self.model, scaled, self.columns)
+        self.model = fit_churn(scaled.where(~F.col("is_test")), inputs)
+        self._scored = label_churn(score_churn(self.model, scaled, inputs))
 
     def test_predictions(self) -> DataFrame:
         """Label, prediction and probability of the test rows."""
-        return label_churn(self._scored.where("is_test")).select(
+        return self._scored.where("is_test").select(
             "customer_id", "churned", "churn_label", "churn_probability"
         )
 
@@ -264,6 +267,5 @@ class ChurnRun:
         return coefficients(self.model, self.columns, self.spark)
 
     def predictions(self) -> DataFrame:
-        """The prediction mart over all customers, money and days unscaled."""
-        scores = self._scored.select("customer_id", "churn_probability")
-        return prediction_mart(label_churn(self.features.join(scores, "customer_id")))
+        """The prediction mart over all customers."""
+        return prediction_mart(self._scored)

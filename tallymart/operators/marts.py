@@ -49,35 +49,54 @@ def daily_revenue_mart(enriched: DataFrame) -> DataFrame:
     )
 
 
+def known_ids(dimension: DataFrame, key: str) -> DataFrame:
+    """The distinct keys of a dimension; the only part of it that meets order lines."""
+    return dimension.select(F.col(key).alias("known_id")).distinct()
+
+
 def daily_revenue_mart_from_staging(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Completed revenue per day; customers meet only the distinct (day, customer) pairs.
 
     A customer occurs at most once per day in that join, so no key is hot there,
-    and the product table is not read at all.
+    and the product table is not read at all.  Orders and buyers are counted by
+    one aggregate over both kinds of rows.
     """
     done = completed(orders)
-    revenue = (
+    none = F.lit(0).cast("long")
+    one = F.lit(1).cast("long")
+    orders_of_day = (
         done.groupBy("order_date", "order_id")
         .agg(F.sum(revenue_cents()).alias("cents"), F.count(F.lit(1)).alias("lines"))
+        .select("order_date", one.alias("orders"), none.alias("buyers"), "cents", "lines")
+    )
+    ids = known_ids(customers, "customer_id")
+    buyers_of_day = (
+        done.select("order_date", "customer_id")
+        .distinct()
+        .join(ids, F.col("customer_id") == F.col("known_id"), "left_semi")
+        .select(
+            "order_date",
+            none.alias("orders"),
+            one.alias("buyers"),
+            none.alias("cents"),
+            none.alias("lines"),
+        )
+    )
+    return (
+        orders_of_day.unionByName(buyers_of_day)
         .groupBy("order_date")
         .agg(
-            F.count("order_id").alias("total_orders"),
+            F.sum("orders").alias("total_orders"),
+            F.sum("buyers").alias("unique_customers"),
             F.sum("cents").alias("cents"),
             F.sum("lines").alias("lines"),
         )
-    )
-    buyers = (
-        done.select("order_date", "customer_id")
-        .distinct()
-        .join(customers.select("customer_id"), "customer_id", "left_semi")
-        .groupBy(F.col("order_date").alias("day"))
-        .agg(F.count("customer_id").alias("buyers"))
-    )
-    return revenue.join(buyers, F.col("order_date").eqNullSafe(F.col("day")), "left").select(
-        "order_date",
-        "total_orders",
-        F.coalesce("buyers", F.lit(0).cast("long")).alias("unique_customers"),
-        *_money_columns(F.col("cents"), F.col("lines")),
+        .select(
+            "order_date",
+            "total_orders",
+            "unique_customers",
+            *_money_columns(F.col("cents"), F.col("lines")),
+        )
     )
 
 
@@ -113,7 +132,7 @@ def customer_lifetime_mart(enriched: DataFrame) -> DataFrame:
 def customer_lifetime_mart_from_staging(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders of any status per customer, attributes joined last."""
     done = F.col("is_completed")
-    known = customers.select(F.col("customer_id").alias("known_id"))
+    known = known_ids(customers, "customer_id")
     per_order = (
         orders.join(known, orders["customer_id"] == known["known_id"], "left")
         .groupBy("known_id", "order_id")
@@ -165,7 +184,7 @@ def product_performance_mart(enriched: DataFrame) -> DataFrame:
 def product_performance_mart_from_staging(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Completed sales per product, attributes joined last."""
     done = completed(orders)
-    known = products.select(F.col("product_id").alias("known_id"))
+    known = known_ids(products, "product_id")
     per_order = (
         done.join(known, done["product_id"] == known["known_id"], "left")
         .groupBy("known_id", "order_id")

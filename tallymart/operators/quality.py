@@ -229,45 +229,67 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.unpivot([], list(columns), "column", "failures")
 
 
+def _repeated_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: how many values of each column occur more than once, in one pass."""
+    pairs = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+            for c in columns
+        ]
+    )
+    return (
+        df.select(F.inline(pairs))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > 1)
+        .agg(*[F.count_if(F.col("column") == c).alias(c) for c in columns])
+    )
+
+
+def _as_failures(figures: DataFrame, tests: Sequence[ColumnTest]) -> DataFrame:
+    """The one-row ``figures``, columns in the order of ``tests``, as one row per test."""
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(t.table).alias("table"),
+                F.lit(t.column).alias("column"),
+                F.lit(t.rule).alias("test"),
+                F.col(f"`{name}`").alias("failures"),
+                F.lit(t.severity).alias("severity"),
+            )
+            for t, name in zip(tests, figures.columns)
+        ]
+    )
+    return figures.select(F.inline(rows))
+
+
 def run_column_tests(tables: Mapping[str, DataFrame], tests: Sequence[ColumnTest]) -> DataFrame:
-    """``(table, column, test, failures, status)``, one row per test.
+    """``(table, column, test, failures, severity, status)``, one row per test.
 
-    ``failures`` counts offending values (unique, accepted_values) or rows (not_null).
+    ``failures`` counts offending values (unique, accepted_values) or rows
+    (not_null).  A table is read once for its uniqueness tests and once for all
+    others.
     """
     parts = []
     for table in dict.fromkeys(t.table for t in tests):
-        df = tables[table]
-        not_null = [t for t in tests if t.table == table and t.rule == "not_null"]
-        if not_null:
-            counted = null_counts(df, [t.column for t in not_null])
-            severity = F.create_map(
-                *[F.lit(x) for t in not_null for x in (t.column, t.severity)]
-            )[F.col("column")]
+        df, own = tables[table], [t for t in tests if t.table == table]
+        unique = [t for t in own if t.rule == "unique"]
+        others = [t for t in own if t.rule != "unique"]
+        if unique:
             parts.append(
-                counted.select(
-                    F.lit(table).alias("table"),
-                    "column",
-                    F.lit("not_null").alias("test"),
-                    "failures",
-                    severity.alias("severity"),
-                )
-            )
-        for t in tests:
-            if t.table != table or t.rule == "not_null":
-                continue
-            if t.rule == "unique":
-                bad = repeated_values(df, t.column)
-            else:
-                bad = unaccepted_values(df, t.column, t.accepted)
-            parts.append(
-                bad.agg(F.count(F.lit(1)).alias("failures")).select(
-                    F.lit(t.table).alias("table"),
-                    F.lit(t.column).alias("column"),
-                    F.lit(t.rule).alias("test"),
-                    "failures",
-                    F.lit(t.severity).alias("severity"),
-                )
+                _as_failures(_repeated_counts(df, [t.column for t in unique]), unique)
             )
+        if others:
+            figures = []
+            for i, t in enumerate(others):
+                value = F.col(t.column)
+                if t.rule == "not_null":
+                    bad = F.count_if(value.isNull())
+                else:
+                    bad = F.count_distinct(F.when(~value.isin(*t.accepted), value))
+                figures.append(bad.alias(f"f{i}"))
+            parts.append(_as_failures(df.agg(*figures), others))
     status = (
         F.when(F.col("failures") == 0, PASS)
         .when(F.col("severity") == ERROR, FAIL)

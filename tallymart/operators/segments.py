@@ -76,18 +76,21 @@ def score_limits(base: DataFrame, buckets: int | None = None) -> DataFrame:
 def rfm_scores(base: DataFrame, buckets: int | None = None) -> DataFrame:
     """Scores 1.0 .. 5.0 by percentile rank, and their sum.
 
-    ``base`` is read three times; pass a table or a pinned frame.
+    The limits are found first, by two jobs over ``base``; pass a table or a
+    pinned frame.  What is returned is then a plain projection of ``base`` that
+    any number of later steps can read without another shuffle.
     """
-    limits = score_limits(base, buckets)
-    scored = base.withColumn("limits", limits.select(F.struct("*")).scalar())
+    limits = score_limits(base, buckets).first()
+    scores = {}
     for score, (measure, reverse) in SCORE_OF.items():
         x = F.col(measure).cast("double")
         out = F.when(x.isNull(), F.lit(None).cast("double"))
         for i in range(len(QUINTILE_EDGES)):
-            limit = F.col(f"limits.{score}_{i + 1}")
-            out = out.when(x >= limit if reverse else x <= limit, float(i + 1))
-        scored = scored.withColumn(score, out.otherwise(5.0))
-    return scored.drop("limits").withColumn(
+            limit = limits[f"{score}_{i + 1}"]
+            if limit is not None:
+                out = out.when(x >= limit if reverse else x <= limit, float(i + 1))
+        scores[score] = out.otherwise(5.0)
+    return base.withColumns(scores).withColumn(
         "rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score")
     )
 

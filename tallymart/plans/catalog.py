@@ -93,9 +93,13 @@ class Retail:
     def lifetime_table(self):
         return pin(self.lifetime)
 
+    @cached_property
+    def base_table(self):
+        return pin(segments.rfm_base(self.lifetime_table))
+
     @cached_property
     def scored(self):
-        return segments.rfm_scores(pin(segments.rfm_base(self.lifetime_table)))
+        return segments.rfm_scores(self.base_table)
 
     @cached_property
     def features(self):
@@ -177,7 +181,7 @@ class Retail:
         """Run a stream over the events table to its end and read the result."""
         name = "events.parquet"
         source = (
-            self.spark.readStream.schema(star.table(self.spark, self.folder, "events").schema)
+            self.spark.readStream.schema(star.SCHEMAS["events"])
             .option("pathGlobFilter", name)
             .parquet(self.folder)
         )
@@ -208,9 +212,10 @@ def _seasonal(t: Retail) -> DataFrame:
 
 
 def _ranks(t: Retail) -> DataFrame:
-    base = t.scored
     ranked = percentile_rank(
-        base, {"recency_pct": "recency_days", "monetary_pct": "monetary"}, "customer_id"
+        t.base_table.select("customer_id", "recency_days", "monetary"),
+        {"recency_pct": "recency_days", "monetary_pct": "monetary"},
+        "customer_id",
     )
     return ranked.select(
         "customer_id",
