@@ -263,6 +263,9 @@ QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "plain_product_performance": lambda t: marts.product_performance_mart(t.enriched),
     "active_customers": lambda t: marts.active_customers(t.lifetime),
     "top_products": lambda t: kpis.top_rows(t.performance, "total_revenue", "product_id", 10),
+    "products_by_revenue": lambda t: t.performance.orderBy(
+        F.desc("total_revenue"), "product_id"
+    ),
     "first_days": lambda t: t.daily.orderBy("order_date").limit(7),
     # executive page and weekly report
     "daily_in_range": lambda t: kpis.in_date_range(t.daily, "order_date", RANGE_START, RANGE_END),

@@ -438,6 +438,8 @@ SELECTS = {
     "active_customers": "select * from active",
     "top_products": """
         select * from performance order by total_revenue desc, product_id nulls first limit 10""",
+    "products_by_revenue": """
+        select * from performance order by total_revenue desc, product_id nulls first""",
     "first_days": "select * from daily order by order_date limit 7",
     "daily_in_range": f"""
         select * from daily
