@@ -4,7 +4,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ALL_RISKS, FORECAST, HISTOGRAM_BINS, LOWEST_RISK, RISK_BANDS, SEGMENTS
-from ..functions.money import amount, cents, half_up_div, mean_amount, mean_count, round_amount
+from ..functions.money import (
+    PRICE_UNITS,
+    amount,
+    cents,
+    mean_amount,
+    mean_count,
+    price_units,
+    round_amount,
+)
 from .enrich import inner_category
 from .staging import completed, revenue_cents
 
@@ -329,17 +337,18 @@ def weekly_kpis(daily: DataFrame) -> DataFrame:
 
 
 def top_category(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """The category with the highest completed ``quantity * unit_price``, to whole money."""
-    units = F.rint(F.col("unit_price") * 10_000).cast("long")
-    per_product = (
-        completed(orders)
-        .groupBy("product_id")
-        .agg(F.sum(F.col("quantity") * units).alias("units"))
-    )
+    """The category with the highest completed ``quantity * unit_price``, to whole money.
+
+    Lines are not rounded before they are summed.  Summed as decimals: in units of
+    1/10000 a large category outgrows a LONG.
+    """
+    line = (F.col("quantity") * price_units(F.col("unit_price"))).cast("decimal(20,0)")
+    per_product = completed(orders).groupBy("product_id").agg(F.sum(line).alias("units"))
+    revenue = F.sum("units").cast("decimal(30,0)") / F.lit(PRICE_UNITS)
     return (
         inner_category(per_product, products)
         .groupBy("category")
-        .agg(half_up_div(F.sum("units"), F.lit(10_000)).cast("double").alias("revenue"))
+        .agg(F.round(revenue, 0).cast("double").alias("revenue"))
         .orderBy(F.desc("revenue"), "category")
         .limit(1)
     )

@@ -13,10 +13,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import pin
+
 # A value with more than 1/HOT_SHARE of all rows is salted in a row-level lookup;
 # fewer than HOT_SHARE values can qualify.
 HOT_SHARE = 1000
 SALTS = 32
+# More buckets than this cost more to find than they balance.
+MAX_BUCKETS = 1000
 
 
 def value_counts(df: DataFrame, measures: Mapping[str, str]) -> DataFrame:
@@ -38,7 +42,8 @@ def bucket_bounds(
 ) -> dict[str, list[float]]:
     """Approximate quantiles of each measure in one pass; a few numbers per measure."""
     if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(partitions, MAX_BUCKETS)
     probs = [i / buckets for i in range(1, buckets)]
     if not probs:
         return {m: [] for m in measures}
@@ -115,34 +120,32 @@ def percentile_rank(
 ) -> DataFrame:
     """Append the percentile rank of each input column as a row-level column.
 
-    ``columns`` maps an output name to an input column; ``key`` spreads the rows
-    of a hot value over ``SALTS`` partners, whose lookup row is repeated as often.
-    NULL values get a NULL rank.
+    ``columns`` maps an output name to an input column; NULL values get a NULL
+    rank.  The ranks of the distinct values are pinned and looked up.  ``key``
+    spreads the rows of a hot value over ``SALTS`` partners, whose lookup row is
+    repeated as often.
     """
-    ranks = value_percentiles(df, columns, buckets)
+    ranks = pin(value_percentiles(df, columns, buckets))
     hot = F.col("n") * HOT_SHARE > F.col("n_total")
+    salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
     for name, column in columns.items():
-        one = ranks.where(F.col("measure") == name)
-        hot_values = one.where(hot).select(F.col("x").alias("hot_x"))
-        lookup = one.select(
+        own = ranks.where(F.col("measure") == name)
+        # fewer than HOT_SHARE rows, hence the hint
+        hot_values = F.broadcast(own.where(hot).select(F.col("x").alias("hot_x")))
+        copies = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+            F.array(F.lit(0))
+        )
+        lookup = own.select(
             F.col("x").alias("look_x"),
-            F.explode(
-                F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ).alias("look_salt"),
+            F.explode(copies).alias("look_salt"),
             F.col("pct").alias(name),
         )
         x = F.col(column).cast("double")
-        # fewer than HOT_SHARE rows, hence the hint
-        salted = df.join(F.broadcast(hot_values), x == F.col("hot_x"), "left").withColumn(
-            "salt",
-            F.when(
-                F.col("hot_x").isNotNull() | F.col(column).isNull(),
-                F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"),
-            ).otherwise(0),
+        spread = F.col("hot_x").isNotNull() | x.isNull()
+        df = (
+            df.join(hot_values, x == F.col("hot_x"), "left")
+            .withColumn("salt", F.when(spread, salt).otherwise(0))
+            .join(lookup, (x == F.col("look_x")) & (F.col("salt") == F.col("look_salt")), "left")
+            .select(*df.columns, name)
         )
-        df = salted.join(
-            lookup, (x == F.col("look_x")) & (F.col("salt") == F.col("look_salt")), "left"
-        ).select(*df.columns, name)
     return df

@@ -114,8 +114,9 @@ def score_distribution(scored: DataFrame) -> DataFrame:
         F.expr("percentile(rfm_score, array(0.25D, 0.5D, 0.75D), n)").alias("q"),
         F.max("rfm_score").alias("max"),
     )
-    # exact integer numerator of n * (n - 1) * variance
-    spread = F.col("count") * F.col("s2") - F.col("s1") * F.col("s1")
+    # exact numerator of n * (n - 1) * variance; decimal, as it outgrows a long
+    count, s1, s2 = (F.col(c).cast("decimal(19,0)") for c in ("count", "s1", "s2"))
+    spread = count * s2 - s1 * s1
     pairs = F.col("count") * (F.col("count") - 1)
     return stats.select(
         "count",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.scoring import quintile
 from ..operators import churn, enrich, forecast, kpis, marts, metrics, quality, segments, staging
 from ..operators.ranking import percentile_rank
-from ..session import pin
+from ..session import pin, shared_folder
 from ..sources import star
 from ..sources.warehouse import row_counts
 from ..streaming import events as stream
@@ -168,15 +168,6 @@ class Retail:
         levels = churn.one_hot(pin(self.features), churn.CHANNEL)
         return churn.assemble(levels, churn.feature_columns(levels))
 
-    def stream_folder(self) -> str:
-        """A fresh folder beside the checkpoints, which all executors share."""
-        return f"{self.checkpoint_root}/stream-{uuid.uuid4().hex}"
-
-    @cached_property
-    def checkpoint_root(self) -> str:
-        pin(self.spark.range(1))
-        return self.spark.sparkContext.getCheckpointDir()
-
     def run_stream(self, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Run a stream over the events table to its end and read the result."""
         name = "events.parquet"
@@ -185,7 +176,7 @@ class Retail:
             .option("pathGlobFilter", name)
             .parquet(self.folder)
         )
-        folder = self.stream_folder()
+        folder = f"{shared_folder(self.spark)}/stream-{uuid.uuid4().hex}"
         result = build(star.as_raw_events(source))
         stream.load_available(result, f"{folder}/out", f"{folder}/state")
         return self.spark.read.schema(result.schema).parquet(f"{folder}/out")

@@ -25,13 +25,12 @@ def build_session(app_name: str = "tallymart", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage at reliable storage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
 
-    Uses the shared folder named by ``spark.checkpoint.dir``.  A private folder
-    is chosen only for a local master; a cluster must name a shared one.
+    A private folder is chosen only for a local master; a cluster must name a
+    shared one.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,4 +39,10 @@ def pin(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tallymart-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage at reliable storage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -213,3 +213,17 @@ def test_failing_checks_and_severities(spark):
     bad = {r["value"]: r["n"] for r in quality.unaccepted_values(
         tables["stg_products"], "category", ["Home"]).collect()}
     assert bad == {"Toys": 2}
+
+
+def test_command_line(spark, folder, tmp_path, capsys):
+    from tallymart.__main__ import main
+
+    root = f"{tmp_path}/wh"
+    main(["ingest", "--data", folder, "--root", root])
+    main(["marts", "--root", root])
+    main(["quality", "--root", root, "--report", f"{tmp_path}/report"])
+    shown = capsys.readouterr().out
+    assert "raw.orders" in shown and "raw.orders row count > 9000" in shown
+    assert Warehouse(spark, root).read("analytics.mart_daily_revenue").count() == 1
+    with pytest.raises(SystemExit):
+        main(["nothing"])

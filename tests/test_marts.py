@@ -4,7 +4,7 @@ import pytest
 from fixtures import raw_tables, rows
 from pyspark.sql import functions as F
 
-from tallymart.operators import enrich, marts, staging
+from tallymart.operators import enrich, kpis, marts, staging
 from tallymart.plans.build import dimension_keys_are_unique, keyed_marts, plain_marts, staging_views
 
 
@@ -161,3 +161,25 @@ def test_forms_agree_with_hot_keys(spark):
 def test_active_customers(plain):
     active = marts.active_customers(plain["mart_customer_lifetime"])
     assert {r["customer_id"] for r in active.collect()} == {"c1", "c2", "c5", None}
+
+
+def test_category_revenue_outgrows_a_long_in_price_units(spark):
+    orders = staging.stage_orders(
+        spark.range(4).select(
+            F.concat(F.lit("o"), "id").alias("order_id"),
+            F.lit("c").alias("customer_id"),
+            F.lit("p").alias("product_id"),
+            F.lit("2024-01-01").alias("order_date"),
+            F.lit(2_000_000_000).alias("quantity"),
+            F.lit(400_000.125).alias("unit_price"),
+            F.lit("completed").alias("status"),
+        )
+    )
+    products = spark.createDataFrame([("p", "Home")], "product_id string, category string")
+    got = kpis.top_category(orders, products).first()
+    assert got["revenue"] == 4 * 2e9 * 400_000.125
+
+
+def test_category_revenue_leaves_out_unknown_products(staged):
+    got = kpis.category_revenue(staged["stg_orders"], staged["stg_products"])
+    assert [tuple(r) for r in got.collect()] == [("Sports", 151.0), ("Home", 90.03)]
