@@ -34,6 +34,7 @@ def test_no_row_at_a_time_python_and_no_pairing_join(spark, small, name):
 
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     warehouse = Warehouse(spark, str(tmp_path_factory.mktemp("plans")))
     raw = {n: warehouse.write(df, f"raw.{n}") for n, df in raw_tables(spark).items()}
     return staging_views(raw)
