@@ -49,18 +49,15 @@ def daily_revenue_mart(enriched: DataFrame) -> DataFrame:
     )
 
 
-def known_ids(dimension: DataFrame, key: str) -> DataFrame:
-    """The distinct keys of a dimension; the only part of it that meets order lines."""
-    return dimension.select(F.col(key).alias("known_id")).distinct()
-
-
 def _with_known_id(orders: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Order lines with ``known_id``: their key if the dimension has it, else NULL.
 
-    Broadcast if the keys are few enough; otherwise sort-merged, where AQE splits a
-    hot key on the order side.
+    Only the bare key of the dimension meets the order lines.  It is broadcast if
+    it is small enough; otherwise sort-merged, where AQE splits a hot key on the
+    order side.  That needs plain shuffles on both sides, so the keys are not made
+    distinct first.
     """
-    ids = known_ids(dimension, key)
+    ids = dimension.select(F.col(key).alias("known_id"))
     return orders.join(ids, orders[key] == ids["known_id"], "left")
 
 

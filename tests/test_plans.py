@@ -2,9 +2,10 @@
 
 import pytest
 from fixtures import raw_tables
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from tallymart.operators import marts
+from tallymart.operators import enrich, marts, staging
 from tallymart.plans.build import staging_views
 from tallymart.sources.warehouse import Warehouse
 
@@ -75,3 +76,67 @@ def test_each_table_is_read_once_for_its_checks(stored, spark):
     assert len(scans(quality.run_checks(stored, checks))) == 1
     tests = [t for t in quality.standard_column_tests() if t.table == "stg_orders"]
     assert len(scans(quality.run_column_tests(stored, tests))) == 2
+
+
+@pytest.fixture
+def large_dimension_settings(spark):
+    """No broadcast, and skew limits scaled down to the size of the test rows."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_a_hot_customer_is_split_in_the_sort_merge_join(spark, tmp_path, large_dimension_settings):
+    hot = F.col("id") % 3 == 0
+    n = 200_000
+    spark.range(0, n, 1, 16).select(
+        F.concat(F.lit("o"), "id").alias("order_id"),
+        F.when(hot, "c1").otherwise(F.concat(F.lit("c"), F.col("id") % 5000)).alias("customer_id"),
+        F.when(hot, "p1").otherwise(F.concat(F.lit("p"), F.col("id") % 5000)).alias("product_id"),
+        F.lit("2024-01-01").alias("order_date"),
+        F.lit(1).alias("quantity"),
+        F.lit(2.5).alias("unit_price"),
+        F.lit("completed").alias("status"),
+    ).write.parquet(f"{tmp_path}/orders")
+    spark.range(5000).select(
+        F.concat(F.lit("c"), "id").alias("customer_id"),
+        F.concat(F.lit("n"), "id").alias("name"),
+        F.lit("a@b").alias("email"),
+        F.lit("city").alias("city"),
+        F.lit("2023-01-01").alias("signup_date"),
+        F.lit("email").alias("acquisition_channel"),
+    ).write.parquet(f"{tmp_path}/customers")
+    spark.range(5000).select(
+        F.concat(F.lit("p"), "id").alias("product_id"),
+        F.lit("n").alias("product_name"),
+        F.lit("c").alias("category"),
+        F.lit(1.0).alias("cost_price"),
+        F.lit(2.0).alias("list_price"),
+    ).write.parquet(f"{tmp_path}/products")
+    products = staging.stage_products(spark.read.parquet(f"{tmp_path}/products"))
+    orders = staging.stage_orders(spark.read.parquet(f"{tmp_path}/orders"))
+    customers = staging.stage_customers(spark.read.parquet(f"{tmp_path}/customers"))
+    cases = (
+        (marts.customer_lifetime_mart_from_staging(orders, customers), 5000, 1),
+        (marts.product_performance_mart_from_staging(orders, products), 5000, 1),
+        (marts.daily_revenue_mart_from_staging(orders, customers), 1, 1),
+        (enrich.enrich_orders(orders, customers, products), n, 2),
+        (enrich.inner_category(orders, products), n, 1),
+    )
+    for df, rows, joins in cases:
+        assert len(df.collect()) == rows
+        final = physical(df).split("Initial Plan")[0]
+        assert final.count("SortMergeJoin(skew=true)") == joins
