@@ -1,6 +1,9 @@
 """Session defaults and lineage cuts."""
 
+import atexit
+import sys
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +45,39 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage at reliable storage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+_KEPT: dict[str, SparkSession] = {}
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new path under the shared folder; what is left there goes when Python ends."""
+    if not _KEPT:
+        atexit.register(drop_scratch)
+    folder = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _KEPT[folder] = spark
+    return folder
+
+
+def drop_scratch(*folders: str) -> None:
+    """Delete the named scratch folders, or all of this process."""
+    for folder in folders or tuple(_KEPT):
+        spark = _KEPT.pop(folder, None)
+        if spark is None:
+            continue
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception as problem:  # the session's JVM may be gone at exit
+            if folders:
+                raise
+            print(f"scratch folder {folder} is left: {problem}", file=sys.stderr)
+
+
+def pin(df: DataFrame, label: str = "pin") -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a Parquet table in the shared folder.
+
+    Later readers prune columns and know its size, which a row checkpoint does not offer.
+    """
+    spark = df.sparkSession
+    folder = scratch_folder(spark, label)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
