@@ -7,8 +7,11 @@ A document without doc_id is judged by its own text and is never dropped as some
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.llm.catalog import word_bpe
 from tallymart.llm.common import table
+from tallymart.llm.decontaminate import without_contaminated
 from tallymart.llm.exact_dedup import exact_dedup
+from tallymart.llm.packing import pack
 from tallymart.llm.quality import fit, quality_score
 from tallymart.llm.simhash import simhash_dedup
 from tallymart.session import pin
@@ -36,10 +39,22 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
 
 
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold passages of the benchmark."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequence and offset of every piece of the documents that are left."""
+    return pack(docs, word_bpe())
+
+
 STAGES = [
     ("quality", quality_stage),
     ("exact_dedup", exact_stage),
     ("simhash", simhash_stage),
+    ("decontaminate", benchmark_stage),
+    ("packing", packing_stage),
 ]
 
 #: The classifier, the fingerprints and the tokenizer are not expressible in SQL.

@@ -6,12 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import exact_dedup, quality, simhash, warc_bundles
+from . import decontaminate, exact_dedup, packing, quality, simhash, warc_bundles
 from .common import table
 
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
+def word_bpe() -> str:
+    """Path of the public tokenizer that the packing query counts tokens with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -28,11 +41,17 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.round_trip(table(spark, sf_dir, "pages"), scratch_folder(spark, "warc"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), word_bpe())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality": op7_quality,
     "op8_warc": op8_warc,
+    "op10_packing": op10_packing,
 }
 
 SQL: dict[str, str] = {
