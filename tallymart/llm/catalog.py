@@ -2,11 +2,20 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import decontaminate, exact_dedup, packing, quality, simhash, warc_bundles
+from . import (
+    decontaminate,
+    exact_dedup,
+    license_scan,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    warc_bundles,
+)
 from .common import table
 
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -19,6 +28,26 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def document_path() -> Column:
+    """Documents carry no path: source / thousands / hundreds / file stands for one.
+
+    The first document of each hundred is its folder's licence file.
+    """
+    number = F.col("doc_id")
+    name = F.when(number % 100 == 0, F.lit("LICENSE")).otherwise(F.concat(number, F.lit(".txt")))
+    thousands, hundreds = F.floor(number / 1000), F.floor(number / 100)
+    return F.concat_ws("/", F.concat(F.lit("part"), thousands), hundreds, F.col("source"), name)
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").withColumn("path", document_path())
+    return license_scan.scan_licenses(files)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -46,6 +75,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secrets": op2_secrets,
+    "op3_licenses": op3_licenses,
     "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
