@@ -14,6 +14,8 @@ from . import (
     quality,
     secret_scan,
     simhash,
+    substring_dedup,
+    suffix_dedup,
     warc_bundles,
 )
 from .common import table
@@ -28,6 +30,10 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), window=35)
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -70,11 +76,16 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.round_trip(table(spark, sf_dir, "pages"), scratch_folder(spark, "warc"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), window=100)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_bpe())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_secrets": op2_secrets,
     "op3_licenses": op3_licenses,
     "op4_decontaminate": op4_decontaminate,
@@ -82,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality": op7_quality,
     "op8_warc": op8_warc,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
 }
 
