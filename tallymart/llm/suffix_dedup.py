@@ -11,7 +11,8 @@ Documents are too long for one round per byte over the whole corpus.  So windows
 share: neighbouring windows with the same gram form one short string.  Strings with a
 gram that occurs once in the corpus need no construction.  The others meet in buckets, and the
 construction runs over some thousand strings at a time; Spark's shuffle files take the part of the
-sequential external files.  Windows with equal first ``window`` bytes are neighbours in the
+sequential external files.  Equal strings are one, and a string that is alone with its gram is
+not ordered.  Windows with equal first ``window`` bytes are neighbours in the
 order; the earliest one stays.  Only bytes are compared in the end, so hashes cannot err.
 
 A gram in ``HEAVY`` chunks or more would gather too many strings in one bucket; its windows are
@@ -309,31 +310,30 @@ def _classes(strings: list[bytes], window: int):
     return number[whole], start[whole], group[whole]
 
 
-def removed_windows(strings, owner, rank, chunk_row, begin, window):
-    """Which windows of which occurrences have an earlier equal one.
+def removed_windows(strings, rank, begin, window):
+    """Runs (string, first window, end window) of windows with an earlier equal one.
 
-    ``owner`` is the string of each occurrence, ``rank`` the order of its document and ``begin``
-    its place there.  Yields (occurrence, first window, end window) runs.
+    ``rank`` is the order of the document in which a string occurs first, ``begin`` its place.
     """
-    first = np.lexsort((begin, rank, owner))
-    firsts = first[np.searchsorted(owner[first], np.arange(len(strings)))]
     number, start, group = _classes(strings, window)
-    r, p = rank[firsts][number], begin[firsts][number] + start
-    order = np.lexsort((p, r, group))
+    order = np.lexsort((begin[number] + start, rank[number], group))
     head = np.concatenate(([True], group[order][1:] != group[order][:-1]))
     later = order[~head]
     gone = np.zeros((len(strings), max(map(len, strings)) - window + 2), np.int8)
     gone[number[later], start[later]] = 1
     steps = np.diff(gone, axis=1, prepend=0)
     s, a = np.nonzero(steps == 1)
-    b = np.nonzero(steps == -1)[1]
-    yield firsts[s], a, b
-    others = np.ones(len(owner), bool)
-    others[firsts] = False
-    rest = np.flatnonzero(others)
-    if len(rest):
-        sizes = np.array([len(x) for x in strings], np.int64)
-        yield rest, np.zeros(len(rest), np.int64), sizes[owner[rest]] - window + 1
+    return s, a, np.nonzero(steps == -1)[1]
+
+
+def repeats_inside(s: bytes, window: int) -> bool:
+    """Whether two windows of a string may be equal.
+
+    All of its at most LONGEST_RUN windows hold the gram after the last window's start, so
+    equal windows repeat that gram.
+    """
+    at = len(s) - window
+    return window - at < GRAM or s.find(s[at : at + GRAM], 0, at + GRAM - 1) >= 0 or s.find(s[at : at + GRAM], at + 1) >= 0
 
 
 def _construct(window: int):
@@ -367,27 +367,36 @@ def _construct(window: int):
         rank = np.empty(len(order), np.int64)
         rank[order] = np.cumsum(new)
 
-        # Some thousand strings at a time; strings of one key stay together.
-        by_key = np.argsort(np.array(keys, np.uint64), kind="stable")
-        ordered = np.array(keys, np.uint64)[by_key]
-        edges = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        # Occurrences after the first one of an equal string go whole.
+        order = np.lexsort((start, rank, owner))
+        head = np.concatenate(([True], owner[order][1:] != owner[order][:-1]))
+        firsts, others = order[head], order[~head]
+        ends = np.array([len(s) for s in strings], np.int64) - window + 1
+        found = []
+
+        def remove(of, x, y):
+            found.append(np.stack((chunk[of], place[of].astype(np.int64), start[of] + x, start[of] + y + window - 1), 1))
+
+        remove(others, 0, ends[owner[others]])
+        # A string that is alone with its gram and repeats none has nothing to be ordered with.
+        keys = np.array(keys, np.uint64)
+        by_key = np.argsort(keys, kind="stable")
+        edges = np.flatnonzero(np.concatenate(([True], keys[by_key][1:] != keys[by_key][:-1])))
+        shared = np.empty(len(keys), bool)
+        shared[by_key] = np.repeat(np.diff(np.append(edges, len(keys))) > 1, np.diff(np.append(edges, len(keys))))
+        shared |= np.fromiter((repeats_inside(s, window) for s in strings), bool, len(strings))
+        # Some hundred strings at a time; strings of one key stay together.
+        by_key = by_key[shared[by_key]]
+        edges = np.flatnonzero(np.diff(keys[by_key]) != 0) + 1
         cuts = [0]
-        for e in [*edges[1:], len(ordered)]:
-            if e - cuts[-1] >= STRINGS or e == len(ordered):
+        for e in [*edges, len(by_key)]:
+            if e - cuts[-1] >= STRINGS or e == len(by_key) > cuts[-1]:
                 cuts.append(int(e))
-        by_owner = np.argsort(owner, kind="stable")
-        owned = owner[by_owner]
-        found = []
         for a, b in zip(cuts[:-1], cuts[1:]):
             numbers = by_key[a:b]
-            lo, hi = np.searchsorted(owned, numbers, "left"), np.searchsorted(owned, numbers, "right")
-            n = hi - lo
-            local = np.repeat(np.arange(len(numbers)), n)
-            mine = by_owner[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            group = [strings[k] for k in numbers]
-            for occurrence, x, y in removed_windows(group, local, rank[mine], None, start[mine], window):
-                of = mine[occurrence]
-                found.append(np.stack((chunk[of], place[of].astype(np.int64), start[of] + x, start[of] + y + window - 1), 1))
+            of = firsts[numbers]
+            string, x, y = removed_windows([strings[k] for k in numbers], rank[of], start[of], window)
+            remove(of[string], x, y)
         spans = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
         spans = spans[np.argsort(spans[:, 0], kind="stable")]
         edges = np.flatnonzero(np.diff(spans[:, 0], prepend=-1))
