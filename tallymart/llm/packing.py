@@ -26,7 +26,8 @@ CAPACITY = 2048
 CLASS_WIDTH = 16
 RANK_ROWS = 50_000
 SHARES = (1.0, 0.9, 0.75, 0.5, 0.25, 0.1)  # of the fit that is kept, until little is lost
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 1_000_000
+SHORT_WORD = 8
 BATCH_BYTES = 4 << 20
 END = b"\0\0\0\0"
 
@@ -55,8 +56,11 @@ class WordTokenizer:
         words = [t.split() for t in texts]
         new = list({w for ws in words for w in ws if w not in self.known})
         if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = list({w for ws in words for w in ws})
+            # Short words are the frequent ones.
+            self.known = {w: ids for w, ids in self.known.items() if len(w) <= SHORT_WORD}
+            if len(self.known) > KNOWN_WORDS // 2:
+                self.known = {}
+            new = list({w for ws in words for w in ws if w not in self.known})
         coded = self.tokenizer.encode_batch_fast(
             [w.decode() for w in new], add_special_tokens=False
         )
