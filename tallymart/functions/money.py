@@ -5,15 +5,14 @@ number of cents: sums are then exact whatever the order the partial sums
 arrive in, the columns stay inside generated code, and an overflow raises
 under ANSI mode instead of wrapping.
 
-All averages and percentages are rounded half-up in integer arithmetic.  They
-expect a numerator >= 0, which staging guarantees (quantity and price > 0).
+All averages and percentages are rounded in integer arithmetic, halves away from 0.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unit prices may carry up to four decimals.
-PRICE_UNITS = 10_000
+# Unit prices may carry up to six decimals; more would make a LONG overflow at prices in the millions.
+PRICE_UNITS = 10**6
 
 
 def cents(amount: Column) -> Column:
@@ -22,7 +21,7 @@ def cents(amount: Column) -> Column:
 
 
 def price_units(price: Column) -> Column:
-    """A DOUBLE price as a LONG number of 1/10000 units."""
+    """A DOUBLE price as a LONG number of ``1 / PRICE_UNITS``."""
     return F.rint(price * PRICE_UNITS).cast("long")
 
 
@@ -32,9 +31,11 @@ def amount(cents_col: Column, per_unit: float = 100.0) -> Column:
 
 
 def half_up_div(num: Column, den: Column) -> Column:
-    """``num / den`` rounded half-up to a LONG; NULL where ``den`` is 0 or NULL."""
+    """``num / den`` rounded to a LONG, halves away from 0; NULL where ``den`` is 0 or NULL."""
     den = F.nullif(den.cast("long"), F.lit(0).cast("long"))
-    return F.call_function("div", num.cast("long") * 2 + den, den * 2)
+    num = num.cast("long")
+    size = F.call_function("div", F.abs(num) * 2 + den, den * 2)
+    return F.when(num < 0, -size).otherwise(size)
 
 
 def line_cents(quantity: Column, unit_price: Column) -> Column:
@@ -54,8 +55,7 @@ def mean_count(total: Column, n: Column, places: int = 1) -> Column:
 
 def round_amount(sum_cents: Column, places: int = 0) -> Column:
     """A money sum of either sign rounded to fewer than two decimals, halves away from 0."""
-    size = half_up_div(F.abs(sum_cents), F.lit(10 ** (2 - places)))
-    return amount(F.when(sum_cents < 0, -size).otherwise(size), float(10**places))
+    return amount(half_up_div(sum_cents, F.lit(10 ** (2 - places))), float(10**places))
 
 
 def percent(num: Column, den: Column) -> Column:

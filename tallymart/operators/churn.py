@@ -44,8 +44,6 @@ PREDICTION_COLUMNS = (
     "churn_label",
     "churn_risk",
 )
-# More levels than this is not a category but an id.
-MAX_LEVELS = 500
 
 
 def lifetime_of_customers(lifetime: DataFrame, customers: DataFrame) -> DataFrame:
@@ -109,10 +107,8 @@ def churn_totals(features: DataFrame) -> DataFrame:
 
 
 def category_levels(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a category column; refuses an unbounded one."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().take(MAX_LEVELS + 1)
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels")
+    """Sorted distinct values of a category column; each becomes a model column."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in rows)
 
 

@@ -340,9 +340,10 @@ def top_category(orders: DataFrame, products: DataFrame) -> DataFrame:
     """The category with the highest completed ``quantity * unit_price``, to whole money.
 
     Lines are not rounded before they are summed.  Summed as decimals: in units of
-    1/10000 a large category outgrows a LONG.
+    ``1 / PRICE_UNITS`` a large category outgrows a LONG.
     """
-    line = (F.col("quantity") * price_units(F.col("unit_price"))).cast("decimal(20,0)")
+    whole = "decimal(18,0)"
+    line = F.col("quantity").cast(whole) * price_units(F.col("unit_price")).cast(whole)
     per_product = completed(orders).groupBy("product_id").agg(F.sum(line).alias("units"))
     revenue = F.sum("units").cast("decimal(30,0)") / F.lit(PRICE_UNITS)
     return (

@@ -4,7 +4,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import COMPLETED
-from ..functions.money import amount, cents, half_up_div, line_cents, percent, price_units
+from ..functions.money import (
+    PRICE_UNITS,
+    amount,
+    cents,
+    half_up_div,
+    line_cents,
+    percent,
+    price_units,
+)
 
 
 def _typed(col: str, kind: str, strict: bool) -> Column:
@@ -58,7 +66,7 @@ def stage_products(raw: DataFrame) -> DataFrame:
         "category",
         "cost_price",
         "list_price",
-        amount(half_up_div(price - cost, F.lit(100))).alias("gross_margin"),
+        amount(half_up_div(price - cost, F.lit(PRICE_UNITS // 100))).alias("gross_margin"),
         percent(price - cost, price).alias("margin_pct"),
     )
 

@@ -5,7 +5,6 @@ model, so that SQL can state their result; the models themselves are registered
 as well.
 """
 
-import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.scoring import quintile
 from ..operators import churn, enrich, forecast, kpis, marts, metrics, quality, segments, staging
 from ..operators.ranking import percentile_rank
-from ..session import pin, shared_folder
+from ..session import pin, scratch_folder
 from ..sources import star
 from ..sources.warehouse import row_counts
 from ..streaming import events as stream
@@ -26,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANGE_START, RANGE_END = "1997-01-01", "1999-12-31"
 TRAIN_BEFORE = "2001-08-01"
 STAR_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-RULE_DAYS = 2500.0
+RULE_DAYS = 500.0  # puts customers into all risk bands
 
 
 class Retail:
@@ -168,18 +167,19 @@ class Retail:
         levels = churn.one_hot(pin(self.features), churn.CHANNEL)
         return churn.assemble(levels, churn.feature_columns(levels))
 
-    def run_stream(self, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    def run_stream(self, counts: bool = False) -> DataFrame:
         """Run a stream over the events table to its end and read the result."""
-        name = "events.parquet"
-        source = (
+        source = star.as_raw_events(
             self.spark.readStream.schema(star.SCHEMAS["events"])
-            .option("pathGlobFilter", name)
+            .option("pathGlobFilter", "events.parquet")
             .parquet(self.folder)
         )
-        folder = f"{shared_folder(self.spark)}/stream-{uuid.uuid4().hex}"
-        result = build(star.as_raw_events(source))
-        stream.load_available(result, f"{folder}/out", f"{folder}/state")
-        return self.spark.read.schema(result.schema).parquet(f"{folder}/out")
+        folder = scratch_folder(self.spark, "stream")
+        found = f"{folder}/counts" if counts else None
+        stream.load_available(source, f"{folder}/out", f"{folder}/state", found)
+        if counts:
+            return stream.read_daily_counts(self.spark, found)
+        return stream.read_events_table(self.spark, source, f"{folder}/out")
 
 
 def _rfm_clusters(t: Retail) -> DataFrame:
@@ -359,8 +359,8 @@ QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "forecast_next_30": lambda t: forecast.horizon_summary(t.rule_forecast),
     "record_type_breakdown": lambda t: forecast.record_type_breakdown(t.rule_forecast),
     # streams over the events table
-    "stream_events": lambda t: t.run_stream(stream.staged_event_stream),
-    "stream_daily_counts": lambda t: t.run_stream(stream.daily_count_stream),
+    "stream_events": lambda t: t.run_stream(),
+    "stream_daily_counts": lambda t: t.run_stream(counts=True),
     "daily_event_counts": lambda t: stream.daily_counts(t.events),
 }
 

@@ -89,7 +89,7 @@ TABLES = {
         from events""",
     "stg_orders": f"""
         select order_id, customer_id, product_id, order_date, quantity, unit_price,
-               {_hu("quantity * cast(round(unit_price * 10000) as bigint)", "100")} / 100e0
+               {_hu("quantity * cast(round(unit_price * 1000000) as bigint)", "10000")} / 100e0
                    as line_revenue,
                status, coalesce(status = 'completed', false) as is_completed
         from raw_orders
@@ -102,10 +102,10 @@ TABLES = {
         where customer_id is not null and email is not null""",
     "stg_products": f"""
         select product_id, product_name, category, cost_price, list_price,
-               {_hu("lp - cp", "100")} / 100e0 as gross_margin,
+               {_hu("lp - cp", "10000")} / 100e0 as gross_margin,
                {_hu("(lp - cp) * 10000", "lp")} / 100e0 as margin_pct
-        from (select *, cast(round(list_price * 10000) as bigint) as lp,
-                     cast(round(cost_price * 10000) as bigint) as cp
+        from (select *, cast(round(list_price * 1000000) as bigint) as lp,
+                     cast(round(cost_price * 1000000) as bigint) as cp
               from raw_products)
         where product_id is not null and list_price > cost_price""",
     "stg_events": """
@@ -214,7 +214,7 @@ TABLES = {
         select *, cast(churn_probability > 0.5e0 as integer) as churn_label,
                case when churn_probability >= 0.75e0 then 'High'
                     when churn_probability >= 0.5e0 then 'Medium' else 'Low' end as churn_risk
-        from (select *, least(days_since_last_order / 2500e0, 1e0) as churn_probability
+        from (select *, least(days_since_last_order / 500e0, 1e0) as churn_probability
               from features)""",
     "cells": """
         select count(*) filter (where churned = 0 and churn_label = 0) as tn,
@@ -481,7 +481,7 @@ SELECTS = {
                     from ({_WEEK})))""",
     "top_category": f"""
         select category,
-               cast({_hu("sum(quantity * cast(round(unit_price * 10000) as bigint))", "10000")}
+               cast({_hu("sum(quantity * cast(round(unit_price * 1000000) as bigint))", "1000000")}
                     as double) as revenue
         from stg_orders join stg_products using (product_id)
         where is_completed group by category order by revenue desc, category limit 1""",
@@ -710,8 +710,6 @@ SELECTS = {
     "stream_events": "select * from stg_events",
     "stream_daily_counts": """
         select event_date, event_type, count(*) as events from stg_events
-        where event_date + interval 1 day
-              <= (select max(event_time) from stg_events) - interval 1 day
         group by event_date, event_type""",
     "daily_event_counts": """
         select event_date, event_type, count(*) as events from stg_events

@@ -1,8 +1,10 @@
-"""Incremental event load: new files only, repeats dropped, daily counts.
+"""Incremental event load: new files only, repeated rows dropped, daily counts.
 
-Both streams give what the batch operators give on the same events.  They run
-with ``availableNow``: each start takes the files that arrived since the last
-one, keeps its state in the query's checkpoint folder and stops.
+Both loads give what the batch operators give on the same events, however late an event
+arrives.  They run with ``availableNow``: each start takes the files that arrived since the
+last one and stops.  A batch is compared with the stored events of the days it touches, so no
+state grows with the stream, and a batch that is run again after a failure adds nothing twice.
+Days are those of the zone-less event time, whatever the session's time zone.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.staging import stage_events
 from ..sources.schemas import RAW_SCHEMAS
 
-# How late an event may arrive, and how far apart its copies may lie.
-LATENESS = "1 day"
+DAY = "event_date"
 
 
 def read_event_stream(
@@ -27,49 +28,59 @@ def read_event_stream(
     return reader.option("mode", "FAILFAST").json(folder)
 
 
-def staged_event_stream(raw: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Staged events, each event id once within the watermark.
+def daily_counts(staged: DataFrame) -> DataFrame:
+    """Events per day and type."""
+    return staged.groupBy(DAY, "event_type").agg(F.count(F.lit(1)).alias("events"))
 
-    State holds the ids of one ``lateness`` window only.  Watermarks need a
-    zoned timestamp, so the zone-less event time passes through the session zone.
-    """
-    zoned = stage_events(raw).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    return (
-        zoned.withWatermark("event_time", lateness)
-        .dropDuplicatesWithinWatermark(["event_id"])
-        .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-    )
 
+def _of_days(df: DataFrame, days: DataFrame) -> DataFrame:
+    return df.join(days, df[DAY].eqNullSafe(days["touched"]), "left_semi")
 
-def daily_count_stream(raw: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Events per closed day and type."""
-    zoned = stage_events(raw).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    return (
-        zoned.withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", "1 day"), "event_type")
-        .agg(F.count(F.lit(1)).alias("events"))
-        .select(
-            F.col("window.start").cast("timestamp_ntz").cast("date").alias("event_date"),
-            "event_type",
-            "events",
-        )
-    )
 
+def load_available(
+    raw: DataFrame, target: str, state: str, counts: str | None = None
+) -> StreamingQuery:
+    """Add new events to the Parquet folder ``target``, one partition per day, then stop.
 
-def daily_counts(staged: DataFrame) -> DataFrame:
-    """The batch form of :func:`daily_count_stream`, open days included."""
-    return staged.groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias("events"))
+    With ``counts``, the daily counts of the days that a batch touches are taken anew from the
+    stored events and replace those days' partitions there.
+    """
+    staged = stage_events(raw)
+    spark, schema = raw.sparkSession, staged.schema
 
+    def append(df: DataFrame) -> None:
+        df.write.mode("append").partitionBy(DAY).parquet(target)
 
-def load_available(stream: DataFrame, target: str, state: str) -> StreamingQuery:
-    """Append what is available to a Parquet folder, then stop."""
+    def load(batch: DataFrame, _: int) -> None:
+        batch = batch.persist()
+        days = batch.select(F.col(DAY).alias("touched")).distinct()
+        stored = batch.sparkSession.read.schema(schema).parquet(target).select(*schema.names)
+        append(batch.subtract(_of_days(stored, days)))
+        if counts:
+            stored = batch.sparkSession.read.schema(schema).parquet(target)
+            daily_counts(_of_days(stored, days)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(DAY).parquet(counts)
+        batch.unpersist()
+
+    append(spark.createDataFrame([], schema))  # so that the first batch can read the folder
     query = (
-        stream.writeStream.format("parquet")
-        .option("path", target)
+        staged.writeStream.foreachBatch(load)
         .option("checkpointLocation", state)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     return query
+
+
+def read_events_table(spark: SparkSession, raw: DataFrame, target: str) -> DataFrame:
+    """The stored events, in the staged columns' order."""
+    schema = stage_events(raw).schema
+    return spark.read.schema(schema).parquet(target).select(*schema.names)
+
+
+def read_daily_counts(spark: SparkSession, counts: str) -> DataFrame:
+    return spark.read.schema(f"{DAY} date, event_type string, events long").parquet(counts).select(
+        DAY, "event_type", "events"
+    )

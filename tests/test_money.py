@@ -76,3 +76,18 @@ def test_scores_at_the_edges(spark):
     assert got == [1.0, 1.0, 2.0, 4.0, 5.0, None]
     assert df.select(safe_ratio(F.lit(3), F.lit(0))).first()[0] == 3.0
     assert df.select(band(F.lit(0.6), ((0.7, "a"), (0.5, "b")), "c")).first()[0] == "b"
+
+
+def test_small_prices_and_negative_means(spark):
+    from pyspark.sql import functions as F
+
+    from tallymart.functions.money import half_up_div, line_cents, mean_count
+
+    row = spark.range(1).select(
+        line_cents(F.lit(1000), F.lit(0.00123)).alias("a"),
+        line_cents(F.lit(300_000), F.lit(0.00003)).alias("b"),
+        mean_count(F.lit(-7), F.lit(2)).alias("c"),
+        mean_count(F.lit(-10), F.lit(3)).alias("d"),
+        half_up_div(F.lit(5), F.lit(0)).alias("e"),
+    ).first()
+    assert tuple(row) == (123, 900, -3.5, -3.3, None)

@@ -1,7 +1,7 @@
 import json
 
 from fixtures import rows
-from pyspark.sql import functions as F
+import pytest
 
 from tallymart.operators.staging import stage_events
 from tallymart.sources.files import read_events
@@ -25,36 +25,47 @@ def event(i, time, kind="page_view"):
     }
 
 
-def test_new_files_are_added_and_repeats_dropped(spark, tmp_path):
-    source, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
-    first = [event(i, f"2024-01-01 0{i}:00:00") for i in range(5)]
-    write(source, "a.jsonl", first + first[:2])
+@pytest.fixture
+def load(spark, tmp_path):
+    """Runs the stream over the files so far; gives events and counts with their batch twins."""
+
+    def run():
+        raw = stream.read_event_stream(spark, str(tmp_path / "in"))
+        out, counts = str(tmp_path / "out"), str(tmp_path / "counts")
+        stream.load_available(raw, out, str(tmp_path / "state"), counts)
+        batch = stage_events(read_events(spark, str(tmp_path / "in"))).distinct()
+        got = stream.read_events_table(spark, raw, out)
+        assert rows(got) == rows(batch)
+        found = stream.read_daily_counts(spark, counts)
+        assert rows(found) == rows(stream.daily_counts(batch).select(*found.columns))
+        return got.count()
 
-    def load():
-        raw = stream.read_event_stream(spark, str(source))
-        stream.load_available(stream.staged_event_stream(raw), target, state)
-        return spark.read.parquet(target)
+    return run
 
-    want = stage_events(read_events(spark, str(source))).distinct()
-    assert rows(load()) == rows(want)
+
+def test_new_files_are_added_and_repeats_dropped(tmp_path, load):
+    first = [event(i, f"2024-01-01 0{i}:00:00") for i in range(5)]
+    write(tmp_path / "in", "a.jsonl", first + first[:2])
+    assert load() == 5
     # a second start takes the new file alone; its copy of an old event is dropped
-    write(source, "b.jsonl", [event(4, "2024-01-01 04:00:00"), event(9, "2024-01-01 09:00:00")])
-    got = load()
-    assert got.count() == 6
-    assert rows(got) == rows(stage_events(read_events(spark, str(source))).distinct())
-    assert load().count() == 6
-
-
-def test_daily_counts_equal_batch_for_closed_days(spark, tmp_path):
-    source = tmp_path / "in"
-    items = [
-        event(i, f"2024-01-{1 + i % 6:02d} {i % 24:02d}:30:00", "purchase" if i % 4 else "page_view")
-        for i in range(200)
-    ]
-    write(source, "a.jsonl", items)
-    counts = stream.daily_count_stream(stream.read_event_stream(spark, str(source)))
-    stream.load_available(counts, str(tmp_path / "out"), str(tmp_path / "state"))
-    got = spark.read.parquet(str(tmp_path / "out"))
-    batch = stream.daily_counts(stage_events(read_events(spark, str(source))))
-    closed = batch.where(F.col("event_date") < "2024-01-05")
-    assert rows(got) == rows(closed.select(*got.columns))
+    write(tmp_path / "in", "b.jsonl", [first[4], event(9, "2024-01-01 09:00:00")])
+    assert load() == 6
+    assert load() == 6
+
+
+def test_late_events_are_kept(tmp_path, load):
+    write(tmp_path / "in", "a.jsonl", [event(1, "2024-01-10 00:00:00")])
+    load()
+    write(tmp_path / "in", "b.jsonl", [event(2, "2024-01-05 10:00:00"), event(3, "2024-01-11 10:00:00")])
+    assert load() == 3
+
+
+def test_days_do_not_depend_on_the_time_zone(spark, tmp_path, load):
+    held = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        items = [event(1, "2024-01-02 01:00:00"), event(2, "2024-01-02 23:00:00"), event(3, "2024-03-10 02:30:00")]
+        write(tmp_path / "in", "a.jsonl", items)
+        assert load() == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", held)
