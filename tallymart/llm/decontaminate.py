@@ -252,14 +252,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def _touched(index: BenchmarkIndex):
+    @F.arrow_udf("boolean")
+    def touched(texts: pa.Array) -> pa.Array:
+        found = (regions(index, code_points(reduced(t.decode()))) for t in raw_bytes(texts))
+        return pa.array(map(bool, found), pa.bool_())
+
+    return touched
+
+
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows whose own text has no region; all columns stay and no text is shuffled."""
     for index in indexes(benchmark):
-
-        @F.arrow_udf("boolean")
-        def touched(texts: pa.Array, index=index) -> pa.Array:
-            found = (regions(index, code_points(reduced(t.decode()))) for t in raw_bytes(texts))
-            return pa.array(map(bool, found), pa.bool_())
-
-        docs = docs.where(~touched(docs["text"].cast("string")))
+        docs = docs.where(~_touched(index)(docs["text"].cast("string")))
     return docs

@@ -23,8 +23,8 @@ def test_secrets_in_a_text_with_many_matches(spark):
     )
 
 
-def test_secrets_run_no_python(docs):
-    plan = secret_scan.scan_secrets(docs)._jdf.queryExecution().executedPlan().toString()
+def test_secrets_run_no_python(spark, small):
+    plan = catalog.op2_secrets(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
