@@ -16,21 +16,37 @@ from tallymart.llm.quality import fit, quality_score
 from tallymart.llm.simhash import simhash_dedup
 from tallymart.session import pin
 
+#: Rows and bytes that a task hands to Python at once: texts are long, and Spark's own limit of
+#: 10,000 rows would hold tens of megabytes several times over, in the JVM and in the worker.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch limits where they are above the pipeline's."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key, "0")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the compression classifier rejects."""
+    bound_batches(spark)
     model = fit(docs, table(spark, sf_dir, "labels"))
     return docs.where(quality_score(model, docs["text"]) >= 0.5)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the owner of every distinct text."""
+    bound_batches(spark)
     copies = exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("copy_id"))
     return docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest doc_id of every group of near copies."""
+    bound_batches(spark)
     copies = (
         simhash_dedup(docs, shingle=3, distance=2)
         .where(F.col("doc_id") != F.col("component_id"))
@@ -41,11 +57,13 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold passages of the benchmark."""
+    bound_batches(spark)
     return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequence and offset of every piece of the documents that are left."""
+    bound_batches(spark)
     return pack(docs, word_bpe())
 
 
