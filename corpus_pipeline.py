@@ -18,16 +18,16 @@ from tallymart.session import pin
 
 #: Rows and bytes that a task hands to Python at once: texts are long, and Spark's own limit of
 #: 10,000 rows would hold tens of megabytes several times over, in the JVM and in the worker.
-BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch limits where they are above the pipeline's."""
-    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        key = f"spark.sql.execution.arrow.{name}"
-        now = spark.conf.get(key, "0")
-        if not now.isdigit() or not 0 < int(now) <= most:
-            spark.conf.set(key, str(most))
+    """Set the session's Arrow batch limits; they change no result."""
+    for key, most in BATCHES.items():
+        spark.conf.set(key, most)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
