@@ -150,10 +150,10 @@ def key_batch(chunk: int, keys: np.ndarray, flags: np.ndarray, width: int, bucke
     )
 
 
-def answer(table: pa.Table, decide: Callable) -> pa.Table:
+def answer(table: pa.Table, decide: Callable, merge: Callable = np.bitwise_or.reduceat) -> pa.Table:
     """Bits for every list of a bucket: ``decide(owners, flags)`` says which keys are marked.
 
-    ``owners`` is the number of chunks that hold the key.
+    ``owners`` is the number of chunks that hold the key; ``merge`` makes one value of a key's flags.
     """
     sizes = table.column("n").to_pylist()
     lists = [unpack_list(p, n) for p, n in zip(table.column("packed").to_pylist(), sizes)]
@@ -162,7 +162,7 @@ def answer(table: pa.Table, decide: Callable) -> pa.Table:
     order = np.argsort(keys, kind="stable")
     first = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))
     owners = np.diff(np.append(first, len(keys)))
-    marks = decide(owners, np.bitwise_or.reduceat(flags[order], first)).astype(np.uint8)
+    marks = decide(owners, merge(flags[order], first)).astype(np.uint8)
     marked = np.empty(len(keys), np.uint8)
     marked[order] = np.repeat(marks, owners)
     ends = np.cumsum(sizes)
@@ -182,11 +182,13 @@ def answer(table: pa.Table, decide: Callable) -> pa.Table:
     )
 
 
-def answers(keys: DataFrame, decide: Callable, name: str) -> DataFrame:
+def answers(
+    keys: DataFrame, decide: Callable, name: str, merge: Callable = np.bitwise_or.reduceat
+) -> DataFrame:
     """One row per chunk: the marks of all its keys, as a list by bucket."""
 
     def run(table: pa.Table) -> pa.Table:
-        return answer(table, decide)
+        return answer(table, decide, merge)
 
     said = keys.groupBy("bucket").applyInArrow(run, ANSWERS)
     return said.groupBy(F.col("chunk").alias(f"{name}_chunk")).agg(

@@ -11,18 +11,20 @@ Documents are too long for one round per byte over the whole corpus.  So windows
 share: neighbouring windows with the same gram form one short string.  Strings with a
 gram that occurs once in the corpus need no construction.  The others meet in buckets, and the
 construction runs over some thousand strings at a time; Spark's shuffle files take the part of the
-sequential external files.  Equal strings are one, and a string that is alone with its gram is
-not ordered.  Windows with equal first ``window`` bytes are neighbours in the
+sequential external files.  Equal strings are one, of a chunk's only the earliest travels, and
+a string that is alone with its gram is not ordered.  Windows with equal first ``window`` bytes are neighbours in the
 order; the earliest one stays.  Only bytes are compared in the end, so hashes cannot err.
 
-A gram in ``HEAVY`` chunks or more would gather too many strings in one bucket; its windows are
-dealt one by one by a hash of the whole window instead.
+A gram with ``HEAVY`` strings or more (distinct ones, added up over the chunks) would gather too
+many in one bucket and one construction; its windows are dealt one by one by a hash of the whole
+window instead, so that a key has fewer than ``HEAVY`` strings.
 """
 
 import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -48,11 +50,13 @@ WINDOW = 100
 GRAM = 24
 LONGEST_RUN = 64
 CHUNK_BYTES = 2 << 20
-HEAVY = 4096
+HEAVY = 16384
 STRINGS = 512
+#: Counts that a key list's flags can name; others are rounded up, and the last is above HEAVY.
+LEVELS = np.unique(np.ceil(1.1 ** np.arange(160)).astype(np.int64))[:128]
 FAR = np.iinfo(np.int64).max
 
-PIECES = "bucket int, chunk long, keys binary, sizes binary, blob binary, owner binary, doc binary, no_doc binary, place binary, start binary"
+PIECES = "bucket int, chunk long, keys binary, sizes binary, blob binary, doc binary, no_doc binary, place binary, start binary, spans binary"
 SPANS = "chunk long, spans binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -118,6 +122,41 @@ class Grams:
         around = np.concatenate((np.zeros(reach - 1, np.uint64), shown, np.zeros(reach - 1, np.uint64)))
         occurs = np.flatnonzero(sliding(around, reach, False) == grams)
         self.distinct, self.flags = sorted_keys(grams[occurs], np.zeros(len(occurs), np.uint8))
+        self.flags |= np.minimum(np.searchsorted(LEVELS, self._counts()), len(LEVELS) - 1).astype(np.uint8) << 1
+
+    def _counts(self) -> np.ndarray:
+        """The number of distinct strings of every distinct gram."""
+        first, keys, windows, _ = runs(self.at, self.least, np.zeros(len(self.at), bool))
+        slot = np.searchsorted(self.distinct, keys)
+        counts = np.bincount(slot, minlength=len(self.distinct))
+        some = np.flatnonzero(counts[slot] > 1)
+        ends = first[some] + windows[some] + self.window - 1
+        strings = {
+            (k, xxhash.xxh3_64_intdigest(self.data[a:b].data))
+            for k, a, b in zip(slot[some].tolist(), first[some].tolist(), ends.tolist())
+        }
+        counts[slot[some]] = 0
+        np.add.at(counts, np.fromiter((k for k, _ in strings), np.int64, len(strings)), 1)
+        return counts
+
+
+def runs(at: np.ndarray, least: np.ndarray, apart: np.ndarray):
+    """First window, gram, number of windows and ``apart`` of the strings.
+
+    Neighbouring windows with the same gram are one string, up to LONGEST_RUN; those marked in
+    ``apart`` are strings of their own.
+    """
+    if not len(at):
+        return at, least, at, apart
+    new = np.concatenate(([True], (at[1:] != at[:-1] + 1) | (least[1:] != least[:-1]) | apart[1:]))
+    heads = np.flatnonzero(new)
+    sizes = np.diff(np.append(heads, len(at)))
+    cuts = -(-sizes // LONGEST_RUN)
+    which = np.repeat(np.arange(len(heads)), cuts)
+    number = np.arange(len(which)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    first = at[heads][which] + number * LONGEST_RUN
+    windows = np.minimum(sizes[which] - number * LONGEST_RUN, LONGEST_RUN)
+    return first, least[heads][which], windows, apart[heads][which]
 
 
 def _emit_grams(window: int, width: int, buckets: int):
@@ -129,10 +168,15 @@ def _emit_grams(window: int, width: int, buckets: int):
     return run
 
 
+def _added(flags: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Twice the number of strings of every key, and 1 if a chunk holds the key twice."""
+    return 2 * np.add.reduceat(LEVELS[flags >> 1], first) + (np.bitwise_or.reduceat(flags, first) & 1)
+
+
 def _marks(heavy: int):
-    def decide(owners: np.ndarray, flags: np.ndarray) -> np.ndarray:
-        repeated = (owners > 1) | (flags & 1 > 0)
-        return np.where(owners >= heavy, 2, repeated.astype(int))
+    def decide(owners: np.ndarray, added: np.ndarray) -> np.ndarray:
+        repeated = (owners > 1) | (added & 1 > 0)
+        return np.where(repeated & (added >> 1 >= heavy), 2, repeated.astype(int))
 
     return decide
 
@@ -152,25 +196,25 @@ def chunk_strings(grams: Grams, marks: np.ndarray):
     """(key, first window, windows) of the strings that repeated grams give."""
     mark = marks_at(grams.least, grams.distinct, marks)
     kept = np.flatnonzero(mark > 0)
-    at, least, mark = grams.at[kept], grams.least[kept], mark[kept]
-    if not len(at):
-        return at, least, at
-    new = np.concatenate(
-        ([True], (at[1:] != at[:-1] + 1) | (least[1:] != least[:-1]) | (mark[1:] == 2))
-    )
-    runs = np.flatnonzero(new)
-    sizes = np.diff(np.append(runs, len(at)))
-    cuts = -(-sizes // LONGEST_RUN)
-    which = np.repeat(np.arange(len(runs)), cuts)
-    number = np.arange(len(which)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-    first = at[runs][which] + number * LONGEST_RUN
-    windows = np.minimum(sizes[which] - number * LONGEST_RUN, LONGEST_RUN)
-    keys = least[runs][which].copy()
-    for k in np.flatnonzero(mark[runs][which] == 2):
+    first, keys, windows, apart = runs(grams.at[kept], grams.least[kept], mark[kept] == 2)
+    keys = keys.copy()
+    for k in np.flatnonzero(apart):
         keys[k] = xxhash.xxh3_64_intdigest(grams.data[first[k] : first[k] + grams.window].data)
     return first, keys, windows
 
 
+def _piece(bucket: int, chunk: int, parts: list) -> pa.RecordBatch:
+    """A row of PIECES; absent parts are null."""
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([bucket], pa.int32()),
+            pa.array([chunk], pa.int64()),
+            *(pa.array([None if p is None else _packed(p)], pa.binary()) for p in parts),
+        ],
+        [f.split()[0] for f in PIECES.split(", ")],
+    )
+
+
 def _emit_strings(window: int, width: int, buckets: int):
     def run(batches):
         for row in chunk_rows(batches):
@@ -179,41 +223,44 @@ def _emit_strings(window: int, width: int, buckets: int):
             if not len(first):
                 continue
             bucket = (mixed(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-            order = np.lexsort((first, keys, bucket))
-            bucket = bucket[order]
-            edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
             doc = np.searchsorted(grams.ends, first, "right")
             ids = np.array([FAR if i is None else i for i in grams.ids], np.int64)
             absent = np.array([i is None for i in grams.ids], np.uint8)
+            rank = np.empty(len(ids), np.int64)
+            rank[np.lexsort((ids, absent))] = np.arange(len(ids))
+            order = np.lexsort((first, rank[doc], keys, bucket))
+            bucket = bucket[order]
+            edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+            later = []
             for a, b in zip(edges, np.append(edges[1:], len(order))):
-                seen: dict[bytes, int] = {}
-                strings, string_keys, owner = [], [], []
+                seen: set[bytes] = set()
+                strings, earliest = [], []
                 for k in order[a:b]:
                     s = row["data"][first[k] : first[k] + windows[k] + window - 1]
-                    number = seen.setdefault(s, len(strings))
-                    if number == len(strings):
-                        strings.append(s)
-                        string_keys.append(keys[k])
-                    owner.append(number)
-                of = doc[order[a:b]]
+                    if s in seen:
+                        later.append(k)
+                        continue
+                    seen.add(s)
+                    strings.append(s)
+                    earliest.append(k)
+                of = doc[earliest]
                 parts = [
-                    np.array(string_keys, np.uint64),
+                    keys[earliest],
                     np.array([len(s) for s in strings], np.int32),
                     np.frombuffer(b"".join(strings), np.uint8),
-                    np.array(owner, np.int32),
                     ids[of],
                     absent[of],
                     of.astype(np.int32),
-                    (first[order[a:b]] - grams.begins[of]).astype(np.int64),
+                    (first[earliest] - grams.begins[of]).astype(np.int64),
+                    None,
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([int(bucket[a])], pa.int32()),
-                        pa.array([row["chunk"]], pa.int64()),
-                        *(pa.array([_packed(p)], pa.binary()) for p in parts),
-                    ],
-                    [f.split()[0] for f in PIECES.split(", ")],
-                )
+                yield _piece(int(bucket[a]), row["chunk"], parts)
+            if later:
+                # They go whole, whatever other chunks hold.
+                begin = first[later] - grams.begins[doc[later]]
+                spans = np.stack((doc[later], begin, begin + windows[later] + window - 1), 1)
+                of = int(mixed(np.array([row["chunk"]], np.uint64))[0]) % buckets
+                yield _piece(of, row["chunk"], [None] * 7 + [spans.astype(np.int64)])
 
     return run
 
@@ -340,7 +387,12 @@ def _construct(window: int):
     def run(table: pa.Table) -> pa.Table:
         strings, keys, owner, doc, absent, chunk, place, start = [], [], [], [], [], [], [], []
         known: dict[bytes, int] = {}
-        for row in table.to_pylist():
+        inside = table.filter(pc.is_valid(table.column("spans"))).select(["chunk", "spans"])
+        inside = inside.cast(pa.schema([("chunk", pa.int64()), ("spans", pa.binary())]))
+        pieces = table.filter(pc.is_null(table.column("spans")))
+        if not pieces.num_rows:
+            return inside
+        for row in pieces.to_pylist():
             blob = _unpacked(row["blob"], np.uint8).tobytes()
             numbers, at = [], 0
             for size, key in zip(_unpacked(row["sizes"], np.int32), _unpacked(row["keys"], np.uint64)):
@@ -351,7 +403,7 @@ def _construct(window: int):
                     strings.append(s)
                     keys.append(key)
                 numbers.append(number)
-            own = np.array(numbers, np.int64)[_unpacked(row["owner"], np.int32)]
+            own = np.array(numbers, np.int64)
             owner.append(own)
             doc.append(_unpacked(row["doc"], np.int64))
             absent.append(_unpacked(row["no_doc"], np.uint8))
@@ -401,7 +453,7 @@ def _construct(window: int):
         spans = spans[np.argsort(spans[:, 0], kind="stable")]
         edges = np.flatnonzero(np.diff(spans[:, 0], prepend=-1))
         bounds = np.append(edges, len(spans))
-        return pa.table(
+        across = pa.table(
             {
                 "chunk": pa.array(spans[edges, 0], pa.int64()),
                 "spans": pa.array(
@@ -409,6 +461,7 @@ def _construct(window: int):
                 ),
             }
         )
+        return pa.concat_tables([inside, across])
 
     return run
 
@@ -454,7 +507,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, heavy: int = HEAVY) -> D
     size = total_bytes(chunks)
     width = filter_width(size // 32)
     buckets = bucket_count(chunks, size // 16)
-    grams = answers(chunks.mapInArrow(_emit_grams(window, width, buckets), KEYS), _marks(heavy), "grams")
+    grams = answers(chunks.mapInArrow(_emit_grams(window, width, buckets), KEYS), _marks(heavy), "grams", _added)
     marked = with_answers(chunks, grams, "grams")
     strings = marked.mapInArrow(_emit_strings(window, width, buckets), PIECES)
     spans = strings.groupBy("bucket").applyInArrow(_construct(window), SPANS)

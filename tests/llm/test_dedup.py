@@ -117,3 +117,45 @@ def test_suffix_order():
 )
 def test_empty_table(no_docs, run):
     assert run(no_docs).collect() == []
+
+
+def test_suffix_strings_of_a_common_line_are_split(prose):
+    """A line between differing neighbours gives a string per document, but no large group."""
+    import itertools
+
+    import pyarrow as pa
+    import zstandard
+
+    line, heavy, window = "a line of more than a hundred bytes that very many of the documents hold, and each of them with other neighbours", 40, 100
+    rows = [(k, prose(20) + line + prose(20)) for k in range(150)] + [(None, line + prose(9)), (7, prose(20) + line)]
+    chunks = []
+    for number, part in enumerate(itertools.batched(rows, 51)):
+        texts = [t.encode() for _, t in part]
+        row = {"chunk": number, "ids": [d for d, _ in part], "sizes": [len(t) for t in texts]}
+        chunks.append(row | {"blob": zstandard.ZstdCompressor().compress(b"".join(texts))})
+    sd, lists = suffix_dedup, pa.list_(pa.int64())
+
+    def batches(rows, **more):
+        kinds = {"chunk": pa.int64(), "ids": lists, "sizes": lists, "blob": pa.binary()} | more
+        return pa.Table.from_pylist(rows, pa.schema(list(kinds.items()))).to_batches()
+
+    keys = pa.Table.from_batches(sd._emit_grams(window, 40, 1)(batches(chunks)))
+    merge = [sd._added] if hasattr(sd, "_added") else []
+    said = sd.answers.__globals__["answer"](keys, sd._marks(heavy), *merge).to_pylist()
+    for row in chunks:
+        row["grams"] = [{k: r[k] for k in ("bucket", "n", "bits")} for r in said if r["chunk"] == row["chunk"]]
+    bits = pa.list_(pa.struct([("bucket", pa.int32()), ("n", pa.int64()), ("bits", pa.binary())]))
+    pieces = pa.Table.from_batches(sd._emit_strings(window, 40, 1)(batches(chunks, grams=bits)))
+    of_key = Counter()
+    for row in pieces.to_pylist():
+        if row["keys"] is not None:
+            of_key.update(sd._unpacked(row["keys"], "u8").tolist())
+    assert of_key and max(of_key.values()) < heavy
+    spans = sd._construct(window)(pieces).to_pylist()
+    for row in chunks:
+        row["spans"] = [r["spans"] for r in spans if r["chunk"] == row["chunk"]]
+        del row["grams"]
+    removed = Counter()
+    for out in sd._remove(batches(chunks, spans=pa.list_(pa.binary()))):
+        removed.update((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"]) for r in out.to_pylist())
+    assert removed == Counter(r[:4] for r in brute.suffix(rows, window))
