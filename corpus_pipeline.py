@@ -11,7 +11,7 @@ from tallymart.llm.catalog import word_bpe
 from tallymart.llm.common import table
 from tallymart.llm.decontaminate import without_contaminated
 from tallymart.llm.exact_dedup import exact_dedup
-from tallymart.llm.packing import pack
+from tallymart.llm.packing import packed_pieces
 from tallymart.llm.quality import fit, quality_score
 from tallymart.llm.simhash import simhash_dedup
 from tallymart.session import pin
@@ -62,9 +62,9 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequence and offset of every piece of the documents that are left."""
+    """Token ids, their digest, sequence and offset of every piece of the documents that are left."""
     bound_batches(spark)
-    return pack(docs, word_bpe())
+    return packed_pieces(docs, word_bpe()).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

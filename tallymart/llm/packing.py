@@ -10,7 +10,6 @@ the pieces of its length, and finds its sequence and offset in the plan by that
 frequent lengths are counted in salted parts of about ``RANK_ROWS`` rows.
 """
 
-import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
 
@@ -31,7 +30,7 @@ SHORT_WORD = 8
 BATCH_BYTES = 4 << 20
 END = b"\0\0\0\0"
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long, ids binary"
 PLAN = "length long, first long, last long, copies long, base long, place long"
 
 
@@ -86,17 +85,18 @@ def _pieces(path: str, capacity: int):
                 ids += END
                 for piece, begin in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[4 * begin : 4 * (begin + capacity)]
-                    rows.append((doc, piece, begin, len(part) // 4, zlib.crc32(part)))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                    rows.append((doc, piece, begin, len(part) // 4, part))
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
+                ["doc_id", "piece", "start", "length", "ids"],
             )
 
     return run
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+    """doc_id, piece, start, length, ids (little-endian unsigned 32-bit) of every piece."""
     return documents(docs).mapInArrow(_pieces(path, capacity), PIECES)
 
 
@@ -304,22 +304,26 @@ def packing_plan(histogram: dict[int, int], capacity: int) -> list[tuple]:
 # Assignment.
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece.
+def packed_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+    """doc_id, piece, start, length, ids, sequence_id, offset of every piece.
 
+    ``ids`` holds the piece's token ids, little-endian unsigned 32-bit; a sequence is the ids of its
+    pieces by offset.  They are stored once, stay out of the ranking, and are met again by row.
     A null or empty text has the single id 0, so each document has a piece.  Pieces of rows
     without doc_id or with a repeated one are packed like any other.  An empty table gives no
     row.  Sequence numbers run from 0 without gaps.
     """
     spark = docs.sparkSession
-    pieces = pin(token_pieces(docs, path, capacity), "pieces")
+    coded = token_pieces(docs, path, capacity)
+    stored = pin(coded.select("*", F.crc32("ids").alias("mark"), F.monotonically_increasing_id().alias("row")), "pieces")
+    pieces = stored.select("row", "doc_id", "piece", "length", "mark")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = spark.createDataFrame(packing_plan(histogram, capacity), PLAN)
 
     parts = F.lit([1 + histogram.get(length, 0) // RANK_ROWS for length in range(1, capacity + 1)])
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.element_at(parts, F.col("length").cast("int")))
+    salt = F.pmod(F.xxhash64("doc_id", "piece", "mark"), F.element_at(parts, F.col("length").cast("int")))
     salted = pieces.withColumn("salt", salt)
-    inside = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    inside = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "mark")
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         salted.groupBy("length", "salt")
@@ -327,23 +331,29 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
         .select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
     )
     ranked = (
-        salted.withColumn("row", F.row_number().over(inside) - 1)
+        salted.withColumn("inner", F.row_number().over(inside) - 1)
         .join(offsets, ["length", "salt"])
-        .withColumn("rank", F.col("row") + F.col("skip"))
+        .withColumn("rank", F.col("inner") + F.col("skip"))
     )
     plan = F.broadcast(plan.withColumnRenamed("length", "of"))  # bounded by the capacity alone
     local = F.col("rank") - F.col("first")
-    return ranked.join(
+    placed = ranked.join(
         plan,
         (F.col("length") == F.col("of"))
         & (F.col("rank") >= F.col("first"))
         & (F.col("rank") < F.col("last")),
     ).select(
-        "doc_id",
-        "piece",
-        "start",
-        "length",
-        "ids_crc32",
+        "row",
         (F.col("base") + F.floor(local / F.col("copies"))).cast("long").alias("sequence_id"),
         (F.col("place") + local % F.col("copies") * F.col("length")).cast("long").alias("offset"),
     )
+    return stored.join(placed, "row").select(
+        "doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"
+    )
+
+
+def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+    """``packed_pieces`` with a digest, ids_crc32, for the ids."""
+    return packed_pieces(docs, path, capacity).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )

@@ -23,6 +23,7 @@ CHUNKS = "chunk long, ids array<long>, sizes array<long>, blob binary"
 KEYS = "bucket int, chunk long, n long, packed binary"
 ANSWERS = "chunk long, bucket int, n long, bits binary"
 KEYS_PER_BUCKET = 1 << 20
+REMOVED = "array<struct<begin:long,end:long>>"
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -217,3 +218,21 @@ def marks_at(keys: np.ndarray, distinct: np.ndarray, marks: np.ndarray) -> np.nd
     if not len(distinct):
         return np.zeros(len(keys), np.uint8)
     return marks[np.searchsorted(distinct, keys)]
+
+
+# What is left.
+
+
+def removed_spans(keep: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    """For every document of a chunk its runs (begin, end) of places that are not kept."""
+    edge = np.zeros(len(keep) + 1, bool)
+    edge[begins] = edge[ends] = True
+    gone = np.concatenate(([False], ~keep, [False]))
+    first = np.flatnonzero(gone[1:-1] & (~gone[:-2] | edge[:-1]))
+    last = np.flatnonzero(gone[1:-1] & (~gone[2:] | edge[1:])) + 1
+    doc = np.searchsorted(ends, first, "right")
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(ends)))))
+    runs = pa.StructArray.from_arrays(
+        [pa.array(first - begins[doc], pa.int64()), pa.array(last - begins[doc], pa.int64())], ["begin", "end"]
+    )
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), runs)

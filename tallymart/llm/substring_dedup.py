@@ -11,7 +11,6 @@ keys have 62 bits: with n windows around hits, n^2 / 2^63 false matches are to b
 a thousand corpora of 10^8 such windows; at 10^13 a single window errs with a chance of 2 in 10^6.
 """
 
-import hashlib
 from collections.abc import Callable
 from itertools import compress
 
@@ -19,9 +18,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .repeats import (
     KEYS,
+    REMOVED,
     answers,
     bucket_count,
     chunk_rows,
@@ -30,6 +31,7 @@ from .repeats import (
     marks_at,
     marks_of,
     mixed,
+    removed_spans,
     sorted_keys,
     stored_chunks,
     total_bytes,
@@ -41,7 +43,7 @@ CHUNK_BYTES = 4 << 20
 KNOWN_WORDS = 400_000
 WIDE = 62
 BASE = 0x9E3779B97F4A7C15
-RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+RESULT = f"doc_id long, n_words long, n_removed long, kept string, spans {REMOVED}"
 
 _known: dict[bytes, int] = {}
 
@@ -151,15 +153,19 @@ def _remove(window: int, width: int):
             np.add.at(change, repeated, 1)
             np.add.at(change, repeated + window, -1)
             keep = np.cumsum(change)[:-1] == 0
-            rows = []
-            for doc, a, b in zip(words.ids, words.begins, words.ends):
-                kept = b" ".join(compress(words.words[a:b], keep[a:b]))
-                n = int(b - a)
-                rows.append((doc, n, n - int(keep[a:b].sum()), hashlib.sha256(kept).hexdigest()))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            kept = [
+                b" ".join(compress(words.words[a:b], keep[a:b])) for a, b in zip(words.begins, words.ends)
+            ]
+            gone = np.concatenate(([0], np.cumsum(~keep)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                ["doc_id", "n_words", "n_removed", "kept_sha256"],
+                [
+                    pa.array(words.ids, pa.int64()),
+                    pa.array(words.ends - words.begins, pa.int64()),
+                    pa.array(gone[words.ends] - gone[words.begins], pa.int64()),
+                    pa.array(kept, pa.binary()).cast(pa.string()),
+                    removed_spans(keep, words.begins, words.ends),
+                ],
+                ["doc_id", "n_words", "n_removed", "kept", "spans"],
             )
 
     return run
@@ -173,8 +179,11 @@ def _repeated(owners: np.ndarray, flags: np.ndarray) -> np.ndarray:
     return (owners > 1) | (flags & 1 > 0)
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 for every row of (doc_id, text).
+def substring_texts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_removed, kept, spans for every row of (doc_id, text).
+
+    ``kept`` is the words that stay, joined by single spaces; ``spans`` lists the removed runs by
+    word number (begin, end exclusive).
 
     Every word covered by a window whose words also start anywhere else is removed; all copies
     go, the first as well.  A null, empty or blank text has no words, and a text of fewer words
@@ -189,3 +198,10 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     near = with_answers(chunks, probed, "probes")
     found = answers(near.mapInArrow(_emit_windows(window, width, buckets), KEYS), _repeated, "windows")
     return with_answers(near, found, "windows").mapInArrow(_remove(window, width), RESULT)
+
+
+def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256: ``substring_texts`` with a digest for the text."""
+    return substring_texts(docs, window).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )

@@ -20,8 +20,6 @@ many in one bucket and one construction; its windows are dealt one by one by a h
 window instead, so that a key has fewer than ``HEAVY`` strings.
 """
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .repeats import (
     KEYS,
+    REMOVED,
     answers,
     bucket_count,
     chunk_rows,
@@ -40,6 +39,7 @@ from .repeats import (
     marks_at,
     marks_of,
     mixed,
+    removed_spans,
     sorted_keys,
     stored_chunks,
     total_bytes,
@@ -58,7 +58,7 @@ FAR = np.iinfo(np.int64).max
 
 PIECES = "bucket int, chunk long, keys binary, sizes binary, blob binary, doc binary, no_doc binary, place binary, start binary, spans binary"
 SPANS = "chunk long, spans binary"
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = f"doc_id long, n_bytes long, n_removed long, kept binary, spans {REMOVED}"
 
 
 # Windows of a chunk and their grams.
@@ -478,21 +478,24 @@ def _remove(batches):
             np.add.at(change, begins[place] + a, 1)
             np.add.at(change, begins[place] + b, -1)
         keep = np.cumsum(change)[:-1] == 0
-        rows = []
-        for doc, a, b in zip(row["ids"], begins, ends):
-            kept = keep[a:b]
-            gone = np.diff(np.concatenate(([1], kept.astype(np.int8))))
-            rest = data[a:b][kept]
-            rows.append((doc, int(b - a), int(b - a - len(rest)), int((gone == -1).sum()), hashlib.sha256(rest.tobytes()).hexdigest()))
-        kinds = [pa.int64()] * 4 + [pa.string()]
+        kept = [data[a:b][keep[a:b]].tobytes() for a, b in zip(begins, ends)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-            [f.split()[0] for f in RESULT.split(", ")],
+            [
+                pa.array(row["ids"], pa.int64()),
+                pa.array(sizes, pa.int64()),
+                pa.array(sizes - np.array([len(k) for k in kept], np.int64), pa.int64()),
+                pa.array(kept, pa.binary()),
+                removed_spans(keep, begins, ends),
+            ],
+            ["doc_id", "n_bytes", "n_removed", "kept", "spans"],
         )
 
 
-def suffix_dedup(docs: DataFrame, window: int = WINDOW, heavy: int = HEAVY) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of (doc_id, text).
+def suffix_texts(docs: DataFrame, window: int = WINDOW, heavy: int = HEAVY) -> DataFrame:
+    """doc_id, n_bytes, n_removed, kept, spans for every row of (doc_id, text).
+
+    ``kept`` is the bytes that stay, as binary, since a cut may fall inside a character; ``spans``
+    lists the removed runs by byte (begin, end exclusive).
 
     Every byte covered by a ``window``-byte string that also starts earlier (smaller doc_id, or
     earlier in the same document) is removed.  A null text counts as empty; texts shorter than a
@@ -513,3 +516,14 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, heavy: int = HEAVY) -> D
     spans = strings.groupBy("bucket").applyInArrow(_construct(window), SPANS)
     spans = spans.groupBy(F.col("chunk").alias("spans_chunk")).agg(F.collect_list("spans").alias("spans"))
     return with_answers(chunks, spans, "spans").mapInArrow(_remove, RESULT)
+
+
+def suffix_dedup(docs: DataFrame, window: int = WINDOW, heavy: int = HEAVY) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: ``suffix_texts`` with a digest for the bytes."""
+    return suffix_texts(docs, window, heavy).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

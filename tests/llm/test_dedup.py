@@ -157,5 +157,24 @@ def test_suffix_strings_of_a_common_line_are_split(prose):
         del row["grams"]
     removed = Counter()
     for out in sd._remove(batches(chunks, spans=pa.list_(pa.binary()))):
-        removed.update((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"]) for r in out.to_pylist())
+        removed.update((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"])) for r in out.to_pylist())
     assert removed == Counter(r[:4] for r in brute.suffix(rows, window))
+
+
+@pytest.mark.parametrize("run, window", [(substring_dedup, 8), (suffix_dedup, 60)])
+def test_kept_texts_and_spans(docs, rows, run, window):
+    """The texts come out, and the spans say what is missing from them."""
+    words = run is substring_dedup
+    got = (run.substring_texts if words else run.suffix_texts)(docs, window).collect()
+    texts = {d: (t or "").encode() for d, t in rows}
+    assert len(got) == len(rows) and any(r.spans for r in got)
+    for r in got:
+        parts = texts[r.doc_id].split() if words else texts[r.doc_id]
+        for begin, end in reversed(r.spans):
+            assert 0 <= begin < end <= len(parts)
+            parts = parts[:begin] + parts[end:]
+        assert (b" ".join(parts).decode() if words else parts) == r.kept
+    expected = (brute.substring if words else brute.suffix)(rows, window)
+    kept = [r.kept.encode() if words else r.kept for r in got]
+    digests = Counter((r.doc_id, hashlib.sha256(k).hexdigest()) for r, k in zip(got, kept))
+    assert digests == Counter((r[0], r[-1]) for r in expected)

@@ -212,3 +212,21 @@ def test_nnls():
 def test_query_equals_sql(spark, small, name):
     with connect(small) as con:
         assert differences(catalog.QUERIES[name](spark, small), con, catalog.SQL[name]) == []
+
+
+def test_packed_sequences_can_be_filled(docs, rows):
+    from tokenizers import Tokenizer
+
+    tokenizer, sequences, texts = Tokenizer.from_file(catalog.word_bpe()), {}, {}
+    got = packing.packed_pieces(docs, catalog.word_bpe(), 64).collect()
+    for r in got:
+        ids = [int.from_bytes(r.ids[k : k + 4], "little") for k in range(0, len(r.ids), 4)]
+        assert len(ids) == r.length
+        sequences.setdefault(r.sequence_id, {}).update(enumerate(ids, r.offset))
+        if r.doc_id != 12:  # is there twice
+            texts.setdefault(r.doc_id, []).extend((r.start + k, i) for k, i in enumerate(ids))
+    assert sum(map(len, sequences.values())) == sum(r.length for r in got)
+    assert all(sorted(s) == list(range(len(s))) and len(s) <= 64 for s in sequences.values())
+    for doc, t in rows:
+        if doc != 12:
+            assert [i for _, i in sorted(texts[doc])] == [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
