@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, one operator per stage.
 
 Each stage reads what the one before it stored and keeps the columns of ``documents``.
-A document without doc_id is judged by its own text and is never dropped as somebody's copy.
+Of equal texts and of near copies exactly one row stays, also among rows that repeat a doc_id or
+have none: decisions name rows, not documents.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 from tallymart.llm.catalog import word_bpe
 from tallymart.llm.common import table
 from tallymart.llm.decontaminate import without_contaminated
-from tallymart.llm.exact_dedup import exact_dedup
+from tallymart.llm.exact_dedup import text_owners
 from tallymart.llm.packing import packed_pieces
 from tallymart.llm.quality import fit, quality_score
-from tallymart.llm.simhash import simhash_dedup
+from tallymart.llm.simhash import kept_rows
 from tallymart.session import pin
 
 #: Rows and bytes that a task hands to Python at once: texts are long, and Spark's own limit of
@@ -37,22 +38,33 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.where(quality_score(model, docs["text"]) >= 0.5)
 
 
+#: A number of every row, for as long as a stage needs it.
+ROW = "_pipeline_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number each, stored, so that every reader sees the same numbers."""
+    return pin(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def only(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows that ``kept`` names.  Both joins are on a key that no row shares."""
+    gone = rows.select(ROW).join(kept.select(F.col("keep_row").alias(ROW)), ROW, "left_anti")
+    return rows.join(gone, ROW, "left_anti").drop(ROW)
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the owner of every distinct text."""
+    """Keep one row of every distinct text."""
     bound_batches(spark)
-    copies = exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("copy_id"))
-    return docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
+    rows = numbered(docs)
+    return only(rows, text_owners(rows, ROW)).select(docs.columns)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of every group of near copies."""
+    """Keep one row of every group of near copies, one with the smallest doc_id."""
     bound_batches(spark)
-    copies = (
-        simhash_dedup(docs, shingle=3, distance=2)
-        .where(F.col("doc_id") != F.col("component_id"))
-        .select(F.col("doc_id").alias("copy_id"))
-    )
-    return docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
+    rows = numbered(docs)
+    return only(rows, kept_rows(rows, ROW, shingle=3, distance=2)).select(docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,14 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
+def keyed_documents(docs: DataFrame, row: str | None) -> DataFrame:
+    """``documents`` and, as row_key, the column that tells rows apart; null without one."""
+    key = F.col(row) if row else F.lit(None)
+    return docs.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), key.cast("long").alias("row_key")
+    )
+
+
 def raw_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, documents, raw_bytes, slices
+from .common import SPACES, documents, keyed_documents, raw_bytes, slices
 
 LOCAL_BYTES = 16 << 20
 TRIE_BYTES = 32 << 20
@@ -27,8 +27,8 @@ BATCH_BYTES = 8 << 20
 OWNER_ROWS = 4096
 
 KEYS = "doc_id long, n_bytes long, text_sha256 string"
-ENTRIES = "n_bytes long, content_hash long, body binary, points long, owner long, copies long"
-OWNERS = "n_bytes long, text_sha256 string, keep_id long, group_size long"
+ENTRIES = "n_bytes long, content_hash long, body binary, points long, owner long, copies long, row_key long"
+OWNERS = "n_bytes long, text_sha256 string, keep_id long, group_size long, keep_row long"
 
 
 class PatriciaTrie:
@@ -74,22 +74,24 @@ class PatriciaTrie:
             stack.extend((key, child) for child in node[1].values())
 
 
-def _better(points: int, doc, payload: list) -> bool:
-    """A row with an id before one without, then more code points, then the smaller id."""
+def _better(points: int, doc, row, payload: list) -> bool:
+    """A row with an id before one without, more code points, the smaller id, the smaller row key."""
     if (doc is None) != (payload[1] is None):
         return payload[1] is None
     if points != payload[0]:
         return points > payload[0]
-    return doc is not None and doc < payload[1]
+    if doc != payload[1]:
+        return doc < payload[1]
+    return row is not None and row < payload[3]
 
 
-def _add(trie: PatriciaTrie, body: bytes, points: int, doc, copies: int) -> None:
+def _add(trie: PatriciaTrie, body: bytes, points: int, doc, copies: int, row) -> None:
     payload = trie.terminal(body)
     if not payload:
-        payload[:] = [points, doc, copies]
+        payload[:] = [points, doc, copies, row]
         return
-    if _better(points, doc, payload):
-        payload[:2] = [points, doc]
+    if _better(points, doc, row, payload):
+        payload[0], payload[1], payload[3] = points, doc, row
     payload[2] += copies
 
 
@@ -113,8 +115,8 @@ def _digests(batches):
 def _entries(tries: dict) -> Iterator[pa.RecordBatch]:
     rows, size = [], 0
     for (n_bytes, mark), trie in tries.items():
-        for body, (points, owner, copies) in trie.items():
-            rows.append((n_bytes, mark, body, points, owner, copies))
+        for body, (points, owner, copies, row) in trie.items():
+            rows.append((n_bytes, mark, body, points, owner, copies, row))
             size += n_bytes
             if size >= BATCH_BYTES:
                 yield _entry_batch(rows)
@@ -124,8 +126,8 @@ def _entries(tries: dict) -> Iterator[pa.RecordBatch]:
 
 
 def _entry_batch(rows):
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["n_bytes", "content_hash", "body", "points", "owner", "copies"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["n_bytes", "content_hash", "body", "points", "owner", "copies", "row_key"]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names
     )
@@ -136,14 +138,15 @@ def _local(batches):
     for batch in slices(batches, "text", BATCH_BYTES):
         points = pc.utf8_length(batch.column("text")).to_pylist()
         ids = batch.column("doc_id").to_pylist()
-        for doc, n, raw in zip(ids, points, raw_bytes(batch.column("text"))):
+        keys = batch.column("row_key").to_pylist()
+        for doc, n, row, raw in zip(ids, points, keys, raw_bytes(batch.column("text"))):
             body = raw.translate(None, SPACES)
             part = (len(body), content_hash(body))
             trie = tries.get(part)
             if trie is None:
                 trie = tries[part] = PatriciaTrie()
             before = trie.held
-            _add(trie, body, n or 0, doc, 1)
+            _add(trie, body, n or 0, doc, 1, row)
             held += trie.held - before
         if held >= LOCAL_BYTES:
             yield from _entries(tries)
@@ -152,10 +155,10 @@ def _local(batches):
 
 
 def _owner_batch(rows):
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-        ["n_bytes", "text_sha256", "keep_id", "group_size"],
+        ["n_bytes", "text_sha256", "keep_id", "group_size", "keep_row"],
     )
 
 
@@ -164,18 +167,18 @@ def _merge(batches):
 
     def spill():
         done.extend(
-            (len(b), hashlib.sha256(b).hexdigest(), p[1], p[2]) for b, p in trie.items()
+            (len(b), hashlib.sha256(b).hexdigest(), p[1], p[2], p[3]) for b, p in trie.items()
         )
 
     for batch in slices(batches, "body", BATCH_BYTES):
         columns = [c.to_pylist() for c in batch.columns]
-        for n_bytes, mark, body, points, owner, copies in zip(*columns):
+        for n_bytes, mark, body, points, owner, copies, row in zip(*columns):
             if last is not None and (n_bytes, mark) != last:
                 if n_bytes != last[0] or trie.held >= TRIE_BYTES:
                     spill()
                     trie = PatriciaTrie()
             last = (n_bytes, mark)
-            _add(trie, body, points, owner, copies)
+            _add(trie, body, points, owner, copies, row)
         if len(done) >= OWNER_ROWS:
             yield _owner_batch(done)
             done.clear()
@@ -184,10 +187,13 @@ def _merge(batches):
         yield _owner_batch(done)
 
 
-def text_owners(docs: DataFrame) -> DataFrame:
-    """One row per distinct normalised text: its owner and its number of rows."""
+def text_owners(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """One row per distinct normalised text: its owner and its number of rows.
+
+    With ``row``, a column that is different in every row, keep_row names the one row that stays.
+    """
     return (
-        documents(docs)
+        keyed_documents(docs, row)
         .mapInArrow(_local, ENTRIES)
         .repartition("n_bytes", "content_hash")
         .sortWithinPartitions("n_bytes", "content_hash")
@@ -204,7 +210,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     text share one answer and all count.  An empty table gives no row.
     """
     keys = documents(docs).mapInArrow(_digests, KEYS)
-    return keys.join(text_owners(docs), ["n_bytes", "text_sha256"]).select(
+    return keys.join(text_owners(docs).drop("keep_row"), ["n_bytes", "text_sha256"]).select(
         "doc_id",
         "keep_id",
         "group_size",

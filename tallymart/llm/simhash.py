@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
-from .common import documents, hex_long, raw_bytes, slices
+from .common import documents, hex_long, keyed_documents, raw_bytes, slices
 from .components import components
 
 BITS = 64
@@ -72,6 +72,20 @@ def fingerprint(text: bytes, size: int) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
+def _row_fingerprints(size: int):
+    def run(batches):
+        for batch in slices(batches, "text", BATCH_BYTES):
+            raw = raw_bytes(batch.column("text"))
+            marks = [fingerprint(t, size) for t in raw]
+            points = [len(t.decode()) for t in raw]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("row_key"), pa.array(points, pa.int64()), pa.array(marks, pa.int64())],
+                ["doc_id", "row_key", "points", "mark"],
+            )
+
+    return run
+
+
 def _fingerprints(size: int):
     def run(batches):
         for batch in slices(batches, "text", BATCH_BYTES):
@@ -252,6 +266,30 @@ def links(classes: DataFrame, distance: int) -> DataFrame:
     return pairs.unionAll(stars).distinct()
 
 
+def _rooted(classes: DataFrame, distance: int) -> DataFrame:
+    """The classes with the root of their component."""
+    if distance % 2:
+        raise ValueError("common neighbours of crowded values need an even distance")
+    roots = components(links(classes, distance))
+    return classes.join(roots, classes["mark"] == roots["node"], "left").withColumn(
+        "root", F.coalesce("root", "mark")
+    )
+
+
+def kept_rows(docs: DataFrame, row: str, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """keep_row: of every component the one row that stays, by ``row``, different in every row.
+
+    Rows with an id come first, then the smallest doc_id, the most code points, the smallest row key.
+    """
+    keyed = keyed_documents(docs, row).mapInArrow(
+        _row_fingerprints(shingle), "doc_id long, row_key long, points long, mark long"
+    )
+    best = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", (-F.col("points")).alias("less"), "row_key")
+    classes = pin(keyed.groupBy("mark").agg(F.min(best).alias("best")), "classes")
+    owned = _rooted(classes, distance).groupBy("root").agg(F.min("best").alias("best"))
+    return owned.select(F.col("best.row_key").alias("keep_row"))
+
+
 def simhash_dedup(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row of (doc_id, text).
 
@@ -260,14 +298,9 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataF
     do not name them (a component without any id has a null component_id).  Repeated rows
     repeat their answer; an empty table gives no row.  ``distance`` must be even.
     """
-    if distance % 2:
-        raise ValueError("common neighbours of crowded values need an even distance")
     marks = pin(fingerprints(docs, shingle), "fingerprints")
     classes = pin(marks.groupBy("mark").agg(F.min("doc_id").alias("smallest")), "classes")
-    roots = components(links(classes, distance))
-    owned = classes.join(roots, classes["mark"] == roots["node"], "left").select(
-        "mark", "smallest", F.coalesce("root", "mark").alias("root")
-    )
+    owned = _rooted(classes, distance).select("mark", "smallest", "root")
     names = owned.groupBy("root").agg(F.min("smallest").alias("component_id"))
     named = owned.join(names, "root").select("mark", "component_id")
     return marks.join(named, "mark").select(

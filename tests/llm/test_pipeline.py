@@ -41,3 +41,15 @@ def test_registered():
 
     names = set(driver.queries())
     assert set(catalog.QUERIES) | {"pipeline"} <= names and set(driver.oracle_sql()) <= names
+
+
+def test_one_row_of_every_group_stays(spark, prose):
+    """Copies with one doc_id or none, and different texts with one doc_id."""
+    a, b, c, d, e = (prose(60) for _ in range(5))
+    given = [(1, a), (1, a), (2, b), (3, b), (3, c), (None, d), (None, d), (None, e), (9, e), (None, prose(60))]
+    frame = spark.createDataFrame([(*r, "en") for r in given], "doc_id long, text string, lang string").repartition(3)
+    expected = sorted([(1, a), (2, b), (3, c), (None, d), (9, e), given[-1]], key=str)
+    for stage in (corpus_pipeline.exact_stage, corpus_pipeline.simhash_stage):
+        got = stage(spark, frame, "")
+        assert got.columns == frame.columns
+        assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == expected
