@@ -29,13 +29,3 @@ def band(value: Column, bounds: Sequence[tuple[float, str]], default: str) -> Co
         out = (F if out is None else out).when(value >= low, label)
     return out.otherwise(default)
 
-
-def hash_share_below(key: Column, seed: int, share: float) -> Column:
-    """True for about ``share`` of all keys, decided by the key's text alone.
-
-    The first 32 bits of an md5 are compared as hex text, so the choice is
-    stable under any partitioning and needs no shuffle.
-    """
-    limit = f"{min(int(share * 2**32), 2**32 - 1):08x}"
-    text = F.concat(key.cast("string"), F.lit(f"-{seed}"))
-    return F.substring(F.md5(text.cast("binary")), 1, 8) < limit

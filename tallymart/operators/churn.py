@@ -17,10 +17,11 @@ from ..config import (
     SEED,
     TEST_SHARE,
 )
-from ..functions.scoring import band, hash_share_below, safe_ratio
+from ..functions.scoring import band, safe_ratio
 from ..session import pin
 from .marts import active_customers
 from .segments import snapshot_of
+from .splits import with_split
 
 NUMERIC_FEATURES = (
     "completed_orders",
@@ -138,23 +139,6 @@ def assemble(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFra
     )
 
 
-def split_flag(key: str = "customer_id", share: float = TEST_SHARE, seed: int = SEED) -> Column:
-    """True for the test rows.
-
-    A hash of the key decides, so each label's rows split in the same
-    proportion, up to chance, whatever the partitioning.
-    """
-    return hash_share_below(F.col(key), seed, share)
-
-
-def stratified_split(
-    df: DataFrame, key: str = "customer_id", share: float = TEST_SHARE, seed: int = SEED
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows."""
-    test = split_flag(key, share, seed)
-    return df.where(~test), df.where(test)
-
-
 def moments(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: mean and population deviation of each column."""
     return train.agg(
@@ -237,19 +221,14 @@ class ChurnRun:
         seed: int = SEED,
     ):
         self.spark = lifetime.sparkSession
-        base = pin(churn_features(lifetime, customers, snapshot))
+        base = with_split(pin(churn_features(lifetime, customers, snapshot)), share=share, seed=seed)
         encoded = one_hot(base, CHANNEL)
         self.columns = feature_columns(encoded, exclude)
         inputs = [f"x_{c}" for c in self.columns]
         matrix = assemble(encoded, self.columns, "x_")
-        train, _ = stratified_split(matrix, share=share, seed=seed)
         # Scaled once for training, testing and scoring alike; the plain columns
         # stay beside the scaled ones, so nothing is joined back afterwards.
-        scaled = pin(
-            standardize(matrix, train, inputs).withColumn(
-                "is_test", split_flag(share=share, seed=seed)
-            )
-        )
+        scaled = pin(standardize(matrix, matrix.where(~F.col("is_test")), inputs))
         self.model = fit_churn(scaled.where(~F.col("is_test")), inputs)
         self._scored = label_churn(score_churn(self.model, scaled, inputs))
 

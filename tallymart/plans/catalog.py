@@ -12,7 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scoring import quintile
-from ..operators import churn, enrich, forecast, kpis, marts, metrics, quality, segments, staging
+from ..operators import (
+    churn,
+    enrich,
+    forecast,
+    kpis,
+    marts,
+    metrics,
+    quality,
+    segments,
+    splits,
+    staging,
+)
 from ..operators.ranking import percentile_rank
 from ..session import pin, scratch_folder
 from ..sources import star
@@ -162,9 +173,13 @@ class Retail:
             self.check_tables, quality.standard_checks(categories=len(STAR_CATEGORIES))
         )
 
+    @cached_property
+    def features_table(self):
+        return pin(self.features)
+
     @cached_property
     def feature_matrix(self):
-        levels = churn.one_hot(pin(self.features), churn.CHANNEL)
+        levels = churn.one_hot(self.features_table, churn.CHANNEL)
         return churn.assemble(levels, churn.feature_columns(levels))
 
     def run_stream(self, counts: bool = False) -> DataFrame:
@@ -191,7 +206,7 @@ def _rfm_clusters(t: Retail) -> DataFrame:
 
 def _standardized(t: Retail) -> DataFrame:
     matrix = pin(t.feature_matrix)
-    train, _ = churn.stratified_split(matrix)
+    train, _ = splits.stratified_split(matrix)
     columns = churn.feature_columns(matrix)
     scaled = churn.standardize(matrix, train, columns)
     return scaled.select("customer_id", *[F.round(c, 6).alias(c) for c in columns])
@@ -317,9 +332,12 @@ QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "feature_matrix": lambda t: t.feature_matrix.select(
         "customer_id", *churn.feature_columns(t.feature_matrix)
     ),
-    "churn_split": lambda t: t.features.select(
-        "customer_id", "churned", churn.split_flag().alias("is_test")
+    "churn_split": lambda t: splits.with_split(t.features_table).select(
+        "customer_id", "churned", "is_test"
     ),
+    "churn_split_sizes": lambda t: splits.with_split(t.features_table)
+    .groupBy("churned")
+    .agg(F.count(F.lit(1)).alias("customers"), F.count_if("is_test").alias("test_customers")),
     "standardized_features": _standardized,
     "churn_coefficients": lambda t: churn.ChurnRun(t.lifetime_table, t.customers).coefficients(),
     "churn_test_predictions": lambda t: churn.ChurnRun(

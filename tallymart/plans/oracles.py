@@ -377,7 +377,9 @@ _HORIZON = f"""
     from (select * from forecast where record_type = 'forecast' order by forecast_date {{}})"""
 
 _MOMENTS = (*NUMERIC_FEATURES, *(f"channel_{c}" for c in CHANNELS[1:]))
-_IS_TEST = "substr(md5(cast(customer_id as varchar) || '-42'), 1, 8) < '33333333'"
+_IS_TEST = """(row_number() over (partition by churned
+        order by md5(coalesce(cast(customer_id as varchar), '') || '-42'))
+    <= floor(count(*) over (partition by churned) * 0.2e0 + 0.5e0))"""
 
 
 def _seasonal() -> str:
@@ -626,6 +628,10 @@ SELECTS = {
     + " from stg_customers",
     "feature_matrix": "select * exclude (churned) from matrix",
     "churn_split": f"select customer_id, churned, {_IS_TEST} as is_test from features",
+    "churn_split_sizes": """
+        select churned, count(*) as customers,
+               cast(floor(count(*) * 0.2e0 + 0.5e0) as bigint) as test_customers
+        from features group by churned""",
     "standardized_features": "select customer_id, "
     + ", ".join(
         f'round(("{c}" - "{c}_m") / case when "{c}_d" > 0 then "{c}_d" else 1 end, 6) as "{c}"'
@@ -633,7 +639,7 @@ SELECTS = {
     )
     + " from matrix, (select "
     + ", ".join(f'avg("{c}") as "{c}_m", stddev_pop("{c}") as "{c}_d"' for c in _MOMENTS)
-    + f" from matrix where not {_IS_TEST})",
+    + f" from (select *, {_IS_TEST} as is_test from matrix) where not is_test)",
     "churn_mart_by_rule": "select * from predictions",
     "classification_report": """
         select '0' as class, p0 as "precision", r0 as recall, f0 as f1_score, s0 as support

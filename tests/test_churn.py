@@ -64,16 +64,6 @@ def test_many_levels(spark):
     assert churn.one_hot(df, "ch").where("channel_c599 = 1").count() == 1
 
 
-def test_split_is_stable_and_near_its_share(spark):
-    df = spark.range(20_000).select(F.col("id").alias("customer_id"))
-    train, test = churn.stratified_split(df)
-    assert train.count() + test.count() == 20_000
-    assert abs(test.count() / 20_000 - 0.2) < 0.01
-    again = churn.stratified_split(df.repartition(13))[1]
-    assert again.exceptAll(test).count() == 0
-    assert churn.stratified_split(df, seed=7)[1].exceptAll(test).count() > 0
-
-
 def test_standardize_uses_the_population_deviation(spark):
     df = spark.createDataFrame([(1.0, 4.0), (3.0, 4.0), (5.0, 4.0)], "a double, b double")
     got = churn.standardize(df, df, ["a", "b"]).toPandas()

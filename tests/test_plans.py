@@ -4,9 +4,9 @@ import pytest
 from fixtures import raw_tables
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from tallymart.operators import enrich, marts, staging
 from tallymart.plans.build import staging_views
+from tallymart.plans.catalog import registered
 from tallymart.sources.warehouse import Warehouse
 
 # Queries that fit a model or run a stream before they return.
@@ -26,9 +26,9 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(registered()) - EAGER))
 def test_no_row_at_a_time_python_and_no_pairing_join(spark, small, name):
-    plan = physical(driver.queries()[name](spark, small))
+    plan = physical(registered()[name](spark, small))
     for node in ("EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
 
