@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import bucket_bounds, running_totals
+from .ranking import running_totals
 
 
 def confusion(pred: DataFrame, label: str = "churned", guess: str = "churn_label") -> DataFrame:
@@ -89,7 +89,7 @@ def roc_auc(
     pred: DataFrame,
     label: str = "churned",
     score: str = "churn_probability",
-    buckets: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve as one row; NULL if a class is missing.
 
@@ -103,9 +103,7 @@ def roc_auc(
         F.count_if(F.col(label) == 1).alias("pos"),
         F.count_if(F.col(label) == 0).alias("neg"),
     )
-    totals = running_totals(
-        counts, bucket_bounds(scored, {"score": score}, buckets), ("pos", "neg")
-    )
+    totals = running_totals(counts, ("pos", "neg"), ranges)
     # doubled so that half a tie stays an integer; decimal, as pairs outgrow a long
     pairs = F.col("pos").cast("decimal(19,0)") * (F.col("neg_before") * 2 + F.col("neg"))
     return totals.agg(

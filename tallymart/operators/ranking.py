@@ -1,27 +1,19 @@
 """Percentile ranks over a whole table without a single-task window.
 
-Rows are first counted per distinct value, so a value that holds a third of all
-rows is one counted row.  The distinct values are cut into buckets at
-approximate quantiles; running totals are taken inside each bucket and shifted
-by the total of the buckets before it.  The bucket bounds are literals, so every
-branch of the plan and every retried task cuts alike, and they decide only the
-balance of the tasks, never the result.
+Rows are first counted per distinct value, so a value that holds a third of all rows is one counted
+row.  The distinct values are dealt by ranges of (measure, value): Spark samples the counted values
+themselves, so ranges are balanced however the rows are spread over them.  The ranges are stored, so
+that every later step sees the same ones; running totals are taken inside each and shifted by the
+totals of the ranges before it.
 """
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import pin
 
-# A value with more than 1/HOT_SHARE of all rows is salted in a row-level lookup;
-# fewer than HOT_SHARE values can qualify.
-HOT_SHARE = 1000
-SALTS = 32
-# More buckets than this cost more to find than they balance.
-MAX_BUCKETS = 1000
-
 
 def value_counts(df: DataFrame, measures: Mapping[str, str]) -> DataFrame:
     """``(measure, x, n)``: rows per distinct non-null value of each measure.
@@ -37,60 +29,36 @@ def value_counts(df: DataFrame, measures: Mapping[str, str]) -> DataFrame:
     )
 
 
-def bucket_bounds(
-    df: DataFrame, measures: Mapping[str, str], buckets: int | None = None
-) -> dict[str, list[float]]:
-    """Approximate quantiles of each measure in one pass; a few numbers per measure."""
-    if buckets is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = min(partitions, MAX_BUCKETS)
-    probs = [i / buckets for i in range(1, buckets)]
-    if not probs:
-        return {m: [] for m in measures}
-    wide = df.select(*[F.col(c).cast("double").alias(m) for m, c in measures.items()])
-    found = wide.approxQuantile(list(measures), probs, 1 / (4 * buckets))
-    return {m: sorted(set(q)) for m, q in zip(measures, found)}
-
-
-def _bucket(bounds: Mapping[str, Sequence[float]]) -> Column:
-    """Number of bounds of the row's measure that lie below ``x``."""
-    out = F.lit(0)
-    for measure, edges in bounds.items():
-        if edges:
-            below = F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col("x"))
-            out = F.when(F.col("measure") == measure, F.size(below)).otherwise(out)
-    return out
-
-
 def running_totals(
-    counts: DataFrame,
-    bounds: Mapping[str, Sequence[float]],
-    totals: Sequence[str] = ("n",),
+    counts: DataFrame, totals: Sequence[str] = ("n",), ranges: int | None = None
 ) -> DataFrame:
     """Add ``<t>_before`` and ``<t>_total`` per measure for every ``t`` in ``totals``.
 
-    ``counts`` has one row per (measure, x).
+    ``counts`` has one row per (measure, x).  ``ranges`` is the number of ranges, by default that of
+    shuffle partitions, fewer where adaptive execution joins small ones; it changes no result.
     """
-    cut = counts.withColumn("bucket", _bucket(bounds))
+    order = ("measure", "x")
+    dealt = counts.repartitionByRange(*([ranges] if ranges else []), *order)
+    cut = pin(dealt.withColumn("part", F.spark_partition_id()), "ranges")
     inside = (
-        Window.partitionBy("measure", "bucket")
+        Window.partitionBy("part", "measure")
         .orderBy("x")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ranked = cut.select("*", *[F.sum(t).over(inside).alias(f"{t}_inside") for t in totals])
 
-    # At most one row per measure and bucket from here on.
-    per_bucket = cut.groupBy("measure", "bucket").agg(*[F.sum(t).alias(t) for t in totals])
+    # A range holds one measure or the seam of a few: at most as many rows as ranges and measures.
+    per_part = cut.groupBy("measure", "part").agg(*[F.sum(t).alias(t) for t in totals])
     across = Window.partitionBy("measure")
-    earlier = across.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
+    earlier = across.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select(
         "measure",
-        "bucket",
+        "part",
         *[F.sum(t).over(earlier).alias(f"{t}_offset") for t in totals],
         *[F.sum(t).over(across).alias(f"{t}_total") for t in totals],
     )
     zero = F.lit(0).cast("long")
-    return ranked.join(F.broadcast(offsets), ["measure", "bucket"]).select(
+    return ranked.join(F.broadcast(offsets), ["measure", "part"]).select(
         *counts.columns,
         *[
             (F.coalesce(f"{t}_offset", zero) + F.coalesce(f"{t}_inside", zero)).alias(
@@ -103,49 +71,31 @@ def running_totals(
 
 
 def value_percentiles(
-    df: DataFrame, measures: Mapping[str, str], buckets: int | None = None
+    df: DataFrame, measures: Mapping[str, str], ranges: int | None = None
 ) -> DataFrame:
     """``(measure, x, n, n_total, pct)``: average rank of each distinct value over n.
 
-    Ties share the mean of their ranks.  Runs one job for the bucket bounds, so
-    pass a table or a pinned frame rather than a long lineage.
+    Ties share the mean of their ranks.
     """
-    ranks = running_totals(value_counts(df, measures), bucket_bounds(df, measures, buckets))
+    ranks = running_totals(value_counts(df, measures), ranges=ranges)
     pct = (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)) / F.col("n_total")
     return ranks.select("measure", "x", "n", "n_total", pct.alias("pct"))
 
 
 def percentile_rank(
-    df: DataFrame, columns: Mapping[str, str], key: str, buckets: int | None = None
+    df: DataFrame, columns: Mapping[str, str], ranges: int | None = None
 ) -> DataFrame:
     """Append the percentile rank of each input column as a row-level column.
 
-    ``columns`` maps an output name to an input column; NULL values get a NULL
-    rank.  The ranks of the distinct values are pinned and looked up.  ``key``
-    spreads the rows of a hot value over ``SALTS`` partners, whose lookup row is
-    repeated as often.
+    ``columns`` maps an output name to an input column; NULL values get a NULL rank.  The ranks of the
+    distinct values are stored and looked up by a left join on the bare value, so that adaptive
+    execution can split a value, or NULL, that many rows share.
     """
-    ranks = pin(value_percentiles(df, columns, buckets))
-    hot = F.col("n") * HOT_SHARE > F.col("n_total")
-    salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
+    ranks = pin(value_percentiles(df, columns, ranges), "ranks")
     for name, column in columns.items():
         own = ranks.where(F.col("measure") == name)
-        # fewer than HOT_SHARE rows, hence the hint
-        hot_values = F.broadcast(own.where(hot).select(F.col("x").alias("hot_x")))
-        copies = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-            F.array(F.lit(0))
-        )
-        lookup = own.select(
-            F.col("x").alias("look_x"),
-            F.explode(copies).alias("look_salt"),
-            F.col("pct").alias(name),
-        )
-        x = F.col(column).cast("double")
-        spread = F.col("hot_x").isNotNull() | x.isNull()
-        df = (
-            df.join(hot_values, x == F.col("hot_x"), "left")
-            .withColumn("salt", F.when(spread, salt).otherwise(0))
-            .join(lookup, (x == F.col("look_x")) & (F.col("salt") == F.col("look_salt")), "left")
-            .select(*df.columns, name)
+        lookup = own.select(F.col("x").alias("look_x"), F.col("pct").alias(name))
+        df = df.join(lookup, F.col(column).cast("double") == F.col("look_x"), "left").select(
+            *df.columns, name
         )
     return df

@@ -54,13 +54,13 @@ def rfm_base(lifetime: DataFrame, snapshot: Column | None = None) -> DataFrame:
     )
 
 
-def score_limits(base: DataFrame, buckets: int | None = None) -> DataFrame:
+def score_limits(base: DataFrame, ranges: int | None = None) -> DataFrame:
     """One row: for each score the four measure values at which it changes.
 
     A score is monotone in its measure, so four limits replace a rank per row and
     no table is joined back to the customers.
     """
-    pcts = value_percentiles(base, {m: m for m, _ in SCORE_OF.values()}, buckets)
+    pcts = value_percentiles(base, {m: m for m, _ in SCORE_OF.values()}, ranges)
     limits = []
     for score, (measure, reverse) in SCORE_OF.items():
         own = F.col("measure") == measure
@@ -73,14 +73,14 @@ def score_limits(base: DataFrame, buckets: int | None = None) -> DataFrame:
     return pcts.agg(*limits)
 
 
-def rfm_scores(base: DataFrame, buckets: int | None = None) -> DataFrame:
+def rfm_scores(base: DataFrame, ranges: int | None = None) -> DataFrame:
     """Scores 1.0 .. 5.0 by percentile rank, and their sum.
 
     The limits are found first, by two jobs over ``base``; pass a table or a
     pinned frame.  What is returned is then a plain projection of ``base`` that
     any number of later steps can read without another shuffle.
     """
-    limits = score_limits(base, buckets).first()
+    limits = score_limits(base, ranges).first()
     scores = {}
     for score, (measure, reverse) in SCORE_OF.items():
         x = F.col(measure).cast("double")

@@ -221,7 +221,6 @@ def _ranks(t: Retail) -> DataFrame:
     ranked = percentile_rank(
         t.base_table.select("customer_id", "recency_days", "monetary"),
         {"recency_pct": "recency_days", "monetary_pct": "monetary"},
-        "customer_id",
     )
     return ranked.select(
         "customer_id",

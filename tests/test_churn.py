@@ -147,7 +147,7 @@ def test_auc_counts_every_pair(spark, seed):
     pos = pdf.loc[pdf.churned == 1, "churn_probability"].to_numpy()[:, None]
     neg = pdf.loc[pdf.churned == 0, "churn_probability"].to_numpy()[None, :]
     want = ((pos > neg) + 0.5 * (pos == neg)).mean()
-    assert metrics.roc_auc(df, buckets=6).first()["auc"] == pytest.approx(want, abs=1e-12)
+    assert metrics.roc_auc(df, ranges=6).first()["auc"] == pytest.approx(want, abs=1e-12)
 
 
 def test_auc_needs_both_classes(spark):
