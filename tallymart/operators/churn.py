@@ -2,9 +2,6 @@
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +16,7 @@ from ..config import (
 )
 from ..functions.scoring import band, safe_ratio
 from ..session import pin
+from .logistic import LogisticFit, fit_logistic, level_table
 from .marts import active_customers
 from .segments import snapshot_of
 from .splits import with_split
@@ -108,7 +106,7 @@ def churn_totals(features: DataFrame) -> DataFrame:
 
 
 def category_levels(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a category column; each becomes a model column."""
+    """Sorted distinct values of a category column, for the form with a column each."""
     rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in rows)
 
@@ -116,7 +114,10 @@ def category_levels(df: DataFrame, column: str) -> list[str]:
 def one_hot(
     df: DataFrame, column: str, levels: Sequence[str] | None = None, prefix: str = "channel"
 ) -> DataFrame:
-    """0/1 columns ``<prefix>_<level>`` for all levels but the alphabetically first."""
+    """0/1 columns ``<prefix>_<level>`` for all levels but the alphabetically first.
+
+    A table as wide as its levels, to be shown or exported; the model takes ``logistic.level_table``.
+    """
     levels = category_levels(df, column) if levels is None else sorted(levels)
     return df.select(
         "*",
@@ -157,33 +158,23 @@ def standardize(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> Data
     return out.withColumns(scaled).drop("moments")
 
 
-def _vector(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
-
-
 def fit_churn(
-    train: DataFrame, columns: Sequence[str], c: float = 1.0, max_iter: int = 1000
-) -> LogisticRegressionModel:
-    """L2 logistic regression on standardised columns.
-
-    ``c`` weighs the summed loss against the penalty; Spark takes the penalty of
-    the mean loss, hence 1 / (c * n).
+    train: DataFrame,
+    columns: Sequence[str],
+    c: float = 1.0,
+    channel: str | None = None,
+    levels: DataFrame | None = None,
+) -> LogisticFit:
+    """L2 logistic regression on standardised columns and the levels of a channel.
+
+    ``c`` weighs the summed loss against the penalty.
     """
-    data = _vector(train, columns).select("features", F.col("churned").cast("double"))
-    return LogisticRegression(
-        labelCol="churned",
-        regParam=1.0 / (c * data.count()),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=max_iter,
-    ).fit(data)
+    return fit_logistic(train, columns, "churned", channel, levels, c)
 
 
-def score_churn(model: LogisticRegressionModel, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def score_churn(model: LogisticFit, df: DataFrame) -> DataFrame:
     """Append ``churn_probability``."""
-    scored = model.transform(_vector(df, columns))
-    p = vector_to_array("probability")[1]
-    return scored.select(*df.columns, p.alias("churn_probability"))
+    return model.probability(df, "churn_probability")
 
 
 def label_churn(scored: DataFrame) -> DataFrame:
@@ -201,15 +192,25 @@ def prediction_mart(labelled: DataFrame) -> DataFrame:
     ).select(*PREDICTION_COLUMNS)
 
 
-def coefficients(model: LogisticRegressionModel, columns: Sequence[str], spark) -> DataFrame:
+def coefficients(model: LogisticFit, names: Sequence[str], spark) -> DataFrame:
     """Feature weights in ascending order with their direction."""
-    rows = sorted(zip(columns, map(float, model.coefficients)), key=lambda r: r[1])
-    table = spark.createDataFrame(rows, "feature string, coefficient double")
-    return table.withColumn("raises_risk", F.col("coefficient") > 0)
+    table = spark.createDataFrame(
+        list(zip(names, model.coefficients)), "feature string, coefficient double"
+    )
+    if model.levels is not None:
+        table = table.unionAll(
+            model.levels.select(F.concat(F.lit("channel_"), "level"), F.col("weight"))
+        )
+    return table.orderBy("coefficient", "feature").withColumn(
+        "raises_risk", F.col("coefficient") > 0
+    )
 
 
 class ChurnRun:
-    """One training run: the pinned feature table, the fitted model and its outputs."""
+    """One training run: the pinned feature table, the fitted model and its outputs.
+
+    ``exclude`` names numeric features, or the channel, that the model must not see.
+    """
 
     def __init__(
         self,
@@ -221,20 +222,24 @@ class ChurnRun:
         seed: int = SEED,
     ):
         self.spark = lifetime.sparkSession
-        base = with_split(pin(churn_features(lifetime, customers, snapshot)), share=share, seed=seed)
-        encoded = one_hot(base, CHANNEL)
-        self.columns = feature_columns(encoded, exclude)
-        inputs = [f"x_{c}" for c in self.columns]
-        matrix = assemble(encoded, self.columns, "x_")
+        features = with_split(pin(churn_features(lifetime, customers, snapshot)), share=share, seed=seed)
+        self.columns = [c for c in NUMERIC_FEATURES if c not in exclude]
+        self.inputs = [f"x_{c}" for c in self.columns]
+        matrix = features.withColumns(
+            {f"x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.columns}
+        )
+        train = ~F.col("is_test")
         # Scaled once for training, testing and scoring alike; the plain columns
         # stay beside the scaled ones, so nothing is joined back afterwards.
-        scaled = pin(standardize(matrix, matrix.where(~F.col("is_test")), inputs))
-        self.model = fit_churn(scaled.where(~F.col("is_test")), inputs)
-        self._scored = label_churn(score_churn(self.model, scaled, inputs))
+        self.matrix = pin(standardize(matrix, matrix.where(train), self.inputs))
+        channel = None if CHANNEL in exclude else CHANNEL
+        levels = pin(level_table(self.matrix, CHANNEL, train)) if channel else None
+        self.model = fit_churn(self.matrix.where(train), self.inputs, channel=channel, levels=levels)
+        self.scored = label_churn(score_churn(self.model, self.matrix))
 
     def test_predictions(self) -> DataFrame:
         """Label, prediction and probability of the test rows."""
-        return self._scored.where("is_test").select(
+        return self.scored.where("is_test").select(
             "customer_id", "churned", "churn_label", "churn_probability"
         )
 
@@ -243,4 +248,26 @@ class ChurnRun:
 
     def predictions(self) -> DataFrame:
         """The prediction mart over all customers."""
-        return prediction_mart(self._scored)
+        return prediction_mart(self.scored)
+
+    def derivatives(self, c: float = 1.0) -> DataFrame:
+        """``feature, derivative`` of the penalised loss over the train rows; all 0 at its least value.
+
+        Taken from the scored rows and the coefficients, by the form with a 0/1 column per level,
+        centred and scaled like the numbers: not by the sums that the fit uses.
+        """
+        wide = one_hot(self.scored, CHANNEL) if self.model.levels is not None else self.scored
+        names = [c for c in wide.columns if c.startswith("channel_")]
+        train = wide.where(~F.col("is_test"))
+        columns = dict(zip(self.columns, self.inputs)) | {n: n for n in names}
+        scaled = standardize(train, train, names) if names else train
+        residual = F.col("churn_probability") - F.col("churned")
+        sums = scaled.agg(
+            F.sum(residual).alias("intercept"),
+            *[F.sum(residual * F.col(x)).alias(n) for n, x in columns.items()],
+        ).unpivot([], ["intercept", *columns], "feature", "slope")
+        weights = self.coefficients().select("feature", "coefficient")
+        pull = F.coalesce(F.col("coefficient"), F.lit(0.0)) / c
+        return sums.join(weights, "feature", "left").select(
+            "feature", (F.col("slope") + pull).alias("derivative")
+        )
