@@ -189,6 +189,19 @@ def product_performance_mart_from_staging(orders: DataFrame, products: DataFrame
     )
 
 
+def category_daily_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Completed revenue per known category and day; lines are added up per product before they join."""
+    per_product = (
+        completed(orders).groupBy("product_id", "order_date").agg(F.sum(revenue_cents()).alias("cents"))
+    )
+    named = products.where(F.col("category").isNotNull()).select("product_id", "category")
+    return (
+        per_product.join(named, "product_id")
+        .groupBy("category", "order_date")
+        .agg(amount(F.sum("cents")).alias("total_revenue"))
+    )
+
+
 # The columns the segment and churn models read from the lifetime mart.
 ACTIVE_COLUMNS = (
     *CUSTOMER_COLUMNS,

@@ -137,6 +137,14 @@ class Retail:
     def rule_predictions(self):
         return churn.prediction_mart(self.rule_labels)
 
+    @cached_property
+    def category_daily(self):
+        return pin(marts.category_daily_revenue(self.orders, self.products))
+
+    @cached_property
+    def category_series(self):
+        return forecast.category_series(self.category_daily, TRAIN_BEFORE)
+
     @cached_property
     def series(self):
         return forecast.training_series(self.daily_table, TRAIN_BEFORE)
@@ -393,6 +401,23 @@ QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "future_frame": lambda t: forecast.future_frame(t.series),
     "seasonal_features": _seasonal,
     "revenue_forecast": lambda t: forecast.revenue_forecast(t.daily, TRAIN_BEFORE),
+    "revenue_forecast_checks": lambda t: forecast.interval_checks(
+        forecast.revenue_forecast(t.daily_table, TRAIN_BEFORE), t.series
+    ),
+    "forecast_derivatives": lambda t: forecast.derivatives(forecast.fit_forecast(t.series)).select(
+        "days", (F.round("derivative", 6) + 0.0).alias("derivative")
+    ),
+    "category_daily_revenue": lambda t: marts.category_daily_revenue(t.orders, t.products),
+    "category_forecast": lambda t: forecast.category_forecast(t.category_daily, TRAIN_BEFORE),
+    "category_forecast_calendar": lambda t: forecast.category_forecast(
+        t.category_daily, TRAIN_BEFORE
+    ).select("category", "forecast_date", "record_type"),
+    "category_forecast_checks": lambda t: forecast.interval_checks(
+        forecast.category_forecast(t.category_daily, TRAIN_BEFORE), t.category_series, ["category"]
+    ),
+    "category_forecast_derivatives": lambda t: forecast.derivatives(
+        forecast.fit_forecast(t.category_series, ["category"])
+    ).select("category", "days", (F.round("derivative", 6) + 0.0).alias("derivative")),
     "forecast_mart_by_rule": lambda t: t.rule_forecast,
     "forecast_horizon": lambda t: forecast.forecast_only(t.rule_yhat, t.series),
     "forecast_table": lambda t: kpis.forecast_table(t.rule_forecast),

