@@ -107,7 +107,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ]
     few = F.broadcast(drawn[0].unionAll(drawn[1]))  # at most 4 x FIT_ROWS rows
     texts = documents(docs).where(F.length("text") <= FIT_CHARS)
-    return texts.join(few, texts["doc_id"] == few["label_id"]).select("text", "quality")
+    met = texts.join(few, texts["doc_id"] == few["label_id"])
+    # A doc_id that many rows repeat, or that is labelled again, counts once, by its least text.
+    return met.groupBy("label_id").agg(F.min(F.struct("text", "quality")).alias("row")).select("row.*")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> CompressionModel:
