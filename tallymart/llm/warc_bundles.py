@@ -261,9 +261,10 @@ def _record_batch(rows):
 
 def read_bundles(manifest: DataFrame, folder: str) -> DataFrame:
     """All records of the bundles that the manifest names; payload digests are checked."""
-    # One row per bundle: a fixed number of partitions keeps them from being merged into one.
+    # One row per bundle, a few bytes each.  Dealt by a hash of the name: by the name itself, which
+    # distinct() has dealt them by already, Spark would leave the repartition out and merge all tasks.
     names = manifest.select("bundle").distinct()
-    names = names.repartition(shuffle_partitions(manifest.sparkSession), "bundle")
+    names = names.repartition(shuffle_partitions(manifest.sparkSession), F.xxhash64("bundle"))
     return names.mapInArrow(_reader(folder), RECORDS)
 
 
