@@ -43,13 +43,14 @@ CLASSES = (
     EntropyClass("entropy_base64", r"[A-Za-z0-9+/_=-]{24,}", 24, 3.9),
 )
 
-#: Candidates that are no secrets, as whole-string patterns.
+#: Candidates that are no secrets, as whole-string patterns.  A repeated group must be possessive: the
+#: JVM's matcher calls itself for every repetition of another one, and a long candidate ends the executor.
 ALLOW_LIST = (
     r"[A-Za-z]?[a-z]+",
     r"[A-Z]+",
     r"[0-9]+",
     r"[+/_=-]+",
-    r"[A-Za-z]+([-_/=+][A-Za-z]+)+",
+    r"[A-Za-z]++(?:[-_/=+][A-Za-z]++)++",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"(?i).*example.*",
 )
