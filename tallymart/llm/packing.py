@@ -11,6 +11,7 @@ frequent lengths are counted in salted parts of about ``RANK_ROWS`` rows.
 """
 
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +29,7 @@ SHARES = (1.0, 0.9, 0.75, 0.5, 0.25, 0.1)  # of the fit that is kept, until litt
 KNOWN_WORDS = 1_000_000
 SHORT_WORD = 8
 BATCH_BYTES = 4 << 20
-END = b"\0\0\0\0"
+JOINED = 256
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 PLAN = "length long, first long, last long, copies long, base long, place long"
@@ -41,17 +42,34 @@ class WordTokenizer:
     """Ids of white-space separated words, remembered as bytes.
 
     Only for tokenizers that drop white space and never join words across it, such as word
-    BPE; the ids of a text are then those of its words in order.
+    BPE; the ids of a text are then those of its words in order.  Words not met before are encoded
+    many at a time, and each id goes to the word that its offset lies in.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: 16 bits where the vocabulary allows it: ids are stored and shuffled before they are widened.
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
 
+    def _encoded(self, words: list[bytes]) -> Iterator[bytes]:
+        blocks = [[w.decode() for w in words[k : k + JOINED]] for k in range(0, len(words), JOINED)]
+        width = np.dtype(self.kind).itemsize
+        for k in range(0, len(blocks), JOINED):
+            some = blocks[k : k + JOINED]
+            coded = self.tokenizer.encode_batch([" ".join(b) for b in some], add_special_tokens=False)
+            for block, found in zip(some, coded):
+                starts = np.fromiter((at for at, _ in found.offsets), np.int64, len(found.ids))
+                ends = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in block])) * width
+                ids, first = np.array(found.ids, self.kind).tobytes(), 0
+                for end in ends.tolist():
+                    yield ids[first:end]
+                    first = end
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of every text."""
+        """Little-endian ids of every text, of the kind that ``kind`` says."""
         words = [t.split() for t in texts]
         new = list({w for ws in words for w in ws if w not in self.known})
         if len(self.known) + len(new) > KNOWN_WORDS:
@@ -60,10 +78,7 @@ class WordTokenizer:
             if len(self.known) > KNOWN_WORDS // 2:
                 self.known = {}
             new = list({w for ws in words for w in ws if w not in self.known})
-        coded = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in new], add_special_tokens=False
-        )
-        self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(new, coded))
+        self.known.update(zip(new, self._encoded(new)))
         return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
 
 
@@ -81,11 +96,12 @@ def _pieces(path: str, capacity: int):
         for batch in slices(batches, "text", BATCH_BYTES):
             rows = []
             coded = tokenizer.ids(raw_bytes(batch.column("text")))
+            width = np.dtype(tokenizer.kind).itemsize
             for doc, ids in zip(batch.column("doc_id").to_pylist(), coded):
-                ids += END
-                for piece, begin in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * begin : 4 * (begin + capacity)]
-                    rows.append((doc, piece, begin, len(part) // 4, part))
+                ids += bytes(width)  # id 0
+                for piece, begin in enumerate(range(0, len(ids) // width, capacity)):
+                    part = ids[width * begin : width * (begin + capacity)]
+                    rows.append((doc, piece, begin, len(part) // width, part))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
@@ -96,10 +112,36 @@ def _pieces(path: str, capacity: int):
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids (little-endian unsigned 32-bit) of every piece."""
+    """doc_id, piece, start, length, ids of every piece; ids are little-endian, of 16 or 32 bits.
+
+    :func:`widened` gives 32 bits in either case.
+    """
     return documents(docs).mapInArrow(_pieces(path, capacity), PIECES)
 
 
+def _widen(batches):
+    for batch in batches:
+        ids = batch.column("ids").cast(pa.large_binary())
+        # offsets and values of the column, without an object per row
+        _, ends, values = ids.buffers()
+        ends = np.frombuffer(ends, np.int64)[ids.offset : ids.offset + len(ids) + 1]
+        length = batch.column("length").to_numpy()
+        narrow = (ends[-1] - ends[0]) < 4 * length.sum()
+        kind = "<u2" if narrow else "<u4"
+        wide = np.frombuffer(values, np.uint8)[ends[0] : ends[-1]].view(kind).astype("<u4")
+        offsets = np.concatenate([[0], np.cumsum(4 * length)]).astype(np.int64)
+        column = pa.Array.from_buffers(
+            pa.large_binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(wide)]
+        )
+        at = batch.schema.get_field_index("ids")
+        yield batch.set_column(at, "ids", column.cast(pa.binary()))
+
+
+def widened(pieces: DataFrame) -> DataFrame:
+    """The pieces with their ids in 32 bits."""
+    return pieces.mapInArrow(_widen, pieces.schema)
+
+
 # The plan.
 
 
@@ -308,7 +350,8 @@ def packed_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataF
     """doc_id, piece, start, length, ids, sequence_id, offset of every piece.
 
     ``ids`` holds the piece's token ids, little-endian unsigned 32-bit; a sequence is the ids of its
-    pieces by offset.  They are stored once, stay out of the ranking, and are met again by row.
+    pieces by offset.  They are stored once, in 16 bits where the vocabulary allows, stay out of the
+    ranking, are met again by row and widened last.
     A null or empty text has the single id 0, so each document has a piece.  Pieces of rows
     without doc_id or with a repeated one are packed like any other.  An empty table gives no
     row.  Sequence numbers run from 0 without gaps.
@@ -347,9 +390,10 @@ def packed_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataF
         (F.col("base") + F.floor(local / F.col("copies"))).cast("long").alias("sequence_id"),
         (F.col("place") + local % F.col("copies") * F.col("length")).cast("long").alias("offset"),
     )
-    return stored.join(placed, "row").select(
+    found = stored.join(placed, "row").select(
         "doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"
     )
+    return widened(found)
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import Counter
 import brute
 import pytest
 from compare import connect, differences
+from pyspark.sql import functions as F
 
 from tallymart.llm import catalog, decontaminate, license_scan, packing, quality, secret_scan, warc_bundles
 
@@ -23,6 +24,41 @@ def test_secrets_in_a_text_with_many_matches(spark):
     )
 
 
+LONG = {
+    "words": "ab/" * 100_000 + "z",
+    "lower": "a" * 300_000,
+    "upper": "A" * 300_000,
+    "digits": "7" * 300_000,
+    "marks": "+/" * 150_000,
+    "uuids": "0123abcd-01ab-01ab-01ab-0123456789ab" * 8_000,
+    "example": "k3" * 100_000 + "example" + "Z9" * 100_000,
+    "access": "AKIA" + "Z7" * 150_000,
+    "assign": "password = " + "x1-" * 100_000,
+    "hex": "0a" * 150_000,
+    "spaces": "token" + " " * 300_000 + "= " + "q" * 20,
+}
+
+
+@pytest.mark.parametrize("name", sorted(LONG))
+def test_secrets_survive_very_long_matches(spark, name):
+    """Every kind and allow-list pattern over a hundred thousand repetitions."""
+    text = LONG[name]
+    got = spark.createDataFrame([(1, text)], "doc_id long, text string").select(
+        *[F.col("text").rlike(f"^(?:{p})$").alias(f"a{i}") for i, p in enumerate(secret_scan.ALLOW_LIST)],
+        *[
+            F.size(F.regexp_extract_all("text", F.lit(p), F.lit(0))).alias(f"k{i}")
+            for i, p in enumerate((secret_scan.ASSIGN, secret_scan.ACCESS, secret_scan.HEX, *[c.candidate for c in secret_scan.CLASSES]))
+        ],
+    ).first()
+    assert any(got)
+
+
+def test_secrets_in_a_long_path(spark):
+    text = "see " + "ab/" * 20_000 + "z end"
+    got = secret_scan.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert tuple(got)[1:] == brute.secrets(text, secret_scan.CLASSES, secret_scan.ALLOW_LIST)
+
+
 def test_secrets_run_no_python(spark, small):
     plan = catalog.op2_secrets(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
@@ -116,6 +152,13 @@ def test_quality_on_held_out_rows(spark):
     assert (scored[scored.quality == 1].predicted == 1).mean() > 0.99
 
 
+def test_a_labelled_id_that_repeats_is_learnt_from_once(spark):
+    docs = spark.range(3000).select((F.col("id") % 2).alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    labels = spark.createDataFrame([(0, 1), (1, 0), (0, 1), (0, 0)], "doc_id long, quality int")
+    found = quality.labelled_sample(docs, labels.where(~quality.held_out())).collect()
+    assert len(found) <= 2
+
+
 def test_quality_edge_cases(spark, docs, rows, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (8, 0, 0), (3, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
     got = quality.classify(docs, labels).collect()
@@ -140,6 +183,17 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc_bundles.round_trip(frame.limit(0), f"file://{tmp_path}/none").collect() == []
 
 
+def test_warc_bundles_are_read_by_many_tasks(spark, tmp_path):
+    pages = spark.range(0, 400, 1, 20).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.md5(F.col("id").cast("string")), F.lit(40)).alias("html")
+    )
+    folder = f"file://{tmp_path}/many"
+    manifest = warc_bundles.write_bundles(pages, folder, bundle_bytes=20_000)
+    assert manifest.select("bundle").distinct().count() >= 14
+    got = warc_bundles.read_bundles(manifest, folder).select(F.spark_partition_id().alias("task")).groupBy("task").count()
+    assert got.count() >= 5 and got.agg(F.sum("count")).first()[0] == 400
+
+
 def check_packing(got, capacity):
     places = {}
     for r in got:
@@ -172,6 +226,30 @@ def test_packing(docs, rows, no_docs):
     assert packing.pack(no_docs, catalog.word_bpe()).collect() == []
 
 
+@pytest.mark.parametrize("joined", [1, 3, 256])
+def test_words_are_encoded_alike_alone_and_together(rows, prose, joined, monkeypatch):
+    from tokenizers import Tokenizer
+
+    import numpy as np
+
+    monkeypatch.setattr(packing, "JOINED", joined)
+    texts = [t or "" for _, t in rows] + ["\u00e9\u00e9 \U0001f600\U0001f600x \u4e2d\u6587", "a" * 3000, "\x00 \x01a", prose(400)]
+    coder, whole = packing.WordTokenizer(catalog.word_bpe()), Tokenizer.from_file(catalog.word_bpe())
+    got = coder.ids([t.encode() for t in texts])
+    for t, ids in zip(texts, got):
+        assert np.frombuffer(ids, coder.kind).tolist() == whole.encode(t, add_special_tokens=False).ids
+
+
+def test_ids_of_32_bits_stay(spark):
+    import numpy as np
+
+    for kind in ("<u2", "<u4"):
+        rows = [(k, np.arange(n, dtype=kind).tobytes(), n) for k, n in enumerate([3, 1, 5])]
+        frame = spark.createDataFrame([(k, 0, 0, n, b) for k, b, n in rows], packing.PIECES).repartition(1)
+        for r in packing.widened(frame).collect():
+            assert np.frombuffer(r.ids, "<u4").tolist() == list(range(r.length))
+
+
 def test_salted_ranks_pack_alike(docs, monkeypatch):
     monkeypatch.setattr(packing, "RANK_ROWS", 1)
     check_packing(packing.pack(docs, catalog.word_bpe(), 64).collect(), 64)
