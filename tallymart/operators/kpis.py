@@ -1,6 +1,6 @@
 """KPI tables behind the dashboard pages and the weekly report."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ALL_RISKS, FORECAST, HISTOGRAM_BINS, LOWEST_RISK, RISK_BANDS, SEGMENTS
@@ -289,20 +289,23 @@ def risk_table(churn: DataFrame) -> DataFrame:
 # -- weekly report ----------------------------------------------------------
 
 
-def _last_day(daily: DataFrame) -> Column:
-    return daily.select(F.max("order_date")).scalar()
+def _with_age(daily: DataFrame) -> DataFrame:
+    """The daily mart with ``age``, the days since its last one.
+
+    The window runs over one row per calendar day, so what the mart is made from is read once.
+    """
+    last = F.max("order_date").over(Window.partitionBy(F.lit(1)))
+    return daily.withColumn("age", F.datediff(last, "order_date"))
 
 
 def this_week(daily: DataFrame) -> DataFrame:
     """The seven days up to the last one."""
-    return daily.where(F.col("order_date") >= F.date_sub(_last_day(daily), 6))
+    return _with_age(daily).where("age < 7").drop("age")
 
 
 def last_week(daily: DataFrame) -> DataFrame:
     """The seven days before :func:`this_week`."""
-    last = _last_day(daily)
-    day = F.col("order_date")
-    return daily.where((day >= F.date_sub(last, 13)) & (day < F.date_sub(last, 6)))
+    return _with_age(daily).where("age between 7 and 13").drop("age")
 
 
 def weekly_kpis(daily: DataFrame) -> DataFrame:
@@ -310,11 +313,9 @@ def weekly_kpis(daily: DataFrame) -> DataFrame:
 
     One pass over the daily mart; the change is 0 when last week had no revenue.
     """
-    last, day = _last_day(daily), F.col("order_date")
-    this = day >= F.date_sub(last, 6)
-    prior = (day >= F.date_sub(last, 13)) & ~this
+    this, prior = F.col("age") < 7, F.col("age").between(7, 13)
     revenue, aov = cents(F.col("total_revenue")), cents(F.col("avg_order_value"))
-    sums = daily.agg(
+    sums = _with_age(daily).agg(
         F.sum(F.when(this, revenue).otherwise(0)).alias("now"),
         F.sum(F.when(prior, revenue).otherwise(0)).alias("before"),
         F.sum(F.when(this, F.col("total_orders")).otherwise(0)).alias("orders"),

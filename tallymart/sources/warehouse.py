@@ -1,8 +1,11 @@
 """Tables under one root folder, and the exports made from them.
 
-A table ``layer.name`` is the Parquet folder ``<root>/<layer>/<name>``, so any
-later session finds it without a catalog.  Each write also registers the temp
-view ``<layer>_<name>`` for SQL users of the running session.
+A table ``layer.name`` lives in ``<root>/<layer>/<name>``, so any later session finds it without a
+catalog.  Each full load writes a folder ``version-<n>`` of its own there, and a table is its newest
+version that is complete, which Spark marks with ``_SUCCESS`` as the last thing it writes.  A load
+that fails halfway thus leaves the old rows readable, and none of its own are seen.  The version
+before the newest is kept for readers that still hold it.  Each write also registers the temp view
+``<layer>_<name>`` for SQL users of the running session.
 """
 
 from collections.abc import Mapping, Sequence
@@ -15,6 +18,7 @@ from .files import read_csv
 from .schemas import RUN_LOG_SCHEMA
 
 RUN_LOG = "raw.pipeline_runs"
+VERSION = "version-"
 
 # Column types of the exported files.
 EXPORT_SCHEMAS = {
@@ -71,19 +75,55 @@ class Warehouse:
             f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{self.root}/{layer}'"
         )
 
+    def _files(self, path: str):
+        """The path as Hadoop sees it, and its file system."""
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def versions(self, table: str) -> dict[int, bool]:
+        """Numbers of the stored versions, and whether each is complete."""
+        path, files = self._files(self.path(table))
+        if not files.exists(path):
+            return {}
+        names = [entry.getPath().getName() for entry in files.listStatus(path)]
+        numbers = [int(n.removeprefix(VERSION)) for n in names if n.startswith(VERSION)]
+        return {n: files.exists(self._files(f"{self._version(table, n)}/_SUCCESS")[0]) for n in numbers}
+
+    def _version(self, table: str, number: int) -> str:
+        return f"{self.path(table)}/{VERSION}{number:08d}"
+
+    def current(self, table: str) -> str:
+        """Folder of the newest complete version; a table that is only appended to has none."""
+        found = self.versions(table)
+        path, files = self._files(self.path(table))
+        if not found and files.exists(path):
+            return self.path(table)
+        complete = [n for n, done in found.items() if done]
+        if not complete:
+            raise FileNotFoundError(f"table {table} has not been loaded under {self.root}")
+        return self._version(table, max(complete))
+
     def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Full refresh of a table; returns the stored rows."""
-        writer = df.write.mode("overwrite")
+        """Full refresh of a table; returns the stored rows.
+
+        One load of a table runs at a time.  ``df`` may read the table itself.
+        """
+        before = self.versions(table)
+        writer = df.write.mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(table))
+        writer.parquet(self._version(table, max(before, default=0) + 1))
+        complete = [n for n, done in before.items() if done]
+        for number in set(before) - {max(complete, default=0)}:  # older ones and failed loads
+            path, files = self._files(self._version(table, number))
+            files.delete(path, True)
         return self.as_view(self.read(table), table.replace(".", "_"))
 
     def append(self, df: DataFrame, table: str) -> None:
         df.write.mode("append").parquet(self.path(table))
 
     def read(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.path(table))
+        df = self.spark.read.parquet(self.current(table))
         return df if columns is None else df.select(*columns)
 
     def as_view(self, df: DataFrame, name: str) -> DataFrame:

@@ -227,3 +227,24 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert Warehouse(spark, root).read("analytics.mart_daily_revenue").count() == 1
     with pytest.raises(SystemExit):
         main(["nothing"])
+
+
+def test_a_load_that_fails_halfway_leaves_the_old_table(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    with pytest.raises(FileNotFoundError):
+        warehouse.read("raw.t")
+    warehouse.write(spark.range(10), "raw.t")
+    bad = spark.range(0, 20, 1, 4).select(
+        F.when(F.col("id") == 19, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("id")).alias("id")
+    )
+    for _ in range(2):
+        with pytest.raises(Exception, match="broken"):
+            warehouse.write(bad, "raw.t")
+        assert warehouse.read("raw.t").count() == 10
+    assert sorted(warehouse.versions("raw.t").values()) == [False, False, True]
+    held = warehouse.read("raw.t")
+    assert warehouse.write(spark.range(7), "raw.t").count() == 7
+    assert held.count() == 10  # a reader of the version before may finish
+    assert list(warehouse.versions("raw.t").values()) == [True, True]  # failed loads are gone
+    warehouse.write(warehouse.read("raw.t").where("id < 3"), "raw.t")  # reads what it replaces
+    assert warehouse.read("raw.t").count() == 3

@@ -13,6 +13,8 @@ from tallymart.sources.warehouse import Warehouse
 EAGER = {
     "rfm_clusters",
     "customer_segments",
+    "customer_segment_checks",
+    "cluster_certificate",
     "churn_coefficients",
     "churn_test_predictions",
     "churn_predictions",
@@ -86,6 +88,14 @@ def test_each_table_is_read_once_for_its_checks(stored, spark):
     assert len(scans(quality.run_column_tests(stored, tests))) == 2
 
 
+def test_weekly_tables_read_the_order_lines_once(stored):
+    from tallymart.operators import kpis
+
+    daily = marts.daily_revenue_mart_from_staging(stored["stg_orders"], stored["stg_customers"])
+    for table in (kpis.weekly_kpis, kpis.this_week, kpis.last_week):
+        assert len([s for s in scans(table(daily)) if "unit_price" in s]) == 1
+
+
 @pytest.fixture
 def large_dimension_settings(spark):
     """No broadcast, and skew limits scaled down to the size of the test rows."""

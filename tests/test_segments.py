@@ -1,10 +1,12 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallymart.operators import kpis, segments
 from tallymart.plans.catalog import Retail
+from tallymart.session import pin
 
 
 @pytest.fixture(scope="module")
@@ -44,16 +46,16 @@ def test_clusters_do_not_depend_on_partitioning(scored):
     for n in (1, 7):
         grid = segments.score_grid(scored.repartition(n))
         model = segments.fit_clusters(grid, starts=3)
-        results.append(model.summary.trainingCost)
+        results.append(model.cost)
         assert grid.count() <= 125
-        assert model.summary.k == 4
+        assert len(model.centres) == 4
     assert results[0] == results[1]
 
 
 def test_best_start_is_kept(scored):
     grid = segments.score_grid(scored).cache()
-    one = segments.fit_clusters(grid, starts=1).summary.trainingCost
-    ten = segments.fit_clusters(grid, starts=6).summary.trainingCost
+    one = segments.fit_clusters(grid, starts=1).cost
+    ten = segments.fit_clusters(grid, starts=6).cost
     assert ten <= one
 
 
@@ -91,3 +93,22 @@ def test_empty_segment_has_an_empty_card(spark):
         ("At Risk", 0, 0.0),
         ("Lost", 0, 0.0),
     ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_clusters_are_a_fixed_point(spark, seed):
+    rng = np.random.default_rng(seed)
+    rows = [(i, *map(float, rng.integers(1, 6, 3)), None) for i in range(700)]
+    scored = spark.createDataFrame(rows, "customer_id long, r_score double, f_score double, m_score double, cluster int").drop("cluster")
+    grid = pin(segments.score_grid(scored))
+    model = segments.fit_clusters(grid, k=4, starts=2, seed=seed)
+    clustered = segments.assign_clusters(scored, grid, model)
+    found = segments.cluster_certificate(clustered).first()
+    assert (found["customers"], found["clusters"], found["misplaced"]) == (700, 4, 0)
+    wrong = clustered.withColumn("cluster", F.when(F.col("customer_id") < 50, (F.col("cluster") + 1) % 4).otherwise(F.col("cluster")))
+    assert segments.cluster_certificate(wrong).first()["misplaced"] > 0
+    pdf = clustered.toPandas()
+    points = (pdf[["r_score", "f_score", "m_score"]].to_numpy() - 1) / 4
+    means = np.stack([points[pdf.cluster == c].mean(0) for c in range(4)])
+    assert np.allclose(means, model.centres)
+    assert model.cost == pytest.approx(((points - means[pdf.cluster]) ** 2).sum())
