@@ -12,7 +12,6 @@ a thousand corpora of 10^8 such windows; at 10^13 a single window errs with a ch
 """
 
 from collections.abc import Callable
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import SPACES
 from .repeats import (
     KEYS,
     REMOVED,
@@ -40,22 +40,15 @@ from .repeats import (
 
 WINDOW = 35
 CHUNK_BYTES = 4 << 20
-KNOWN_WORDS = 400_000
 WIDE = 62
 BASE = 0x9E3779B97F4A7C15
 RESULT = f"doc_id long, n_words long, n_removed long, kept string, spans {REMOVED}"
 
-_known: dict[bytes, int] = {}
-
-
-def word_marks(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words, remembered between calls."""
-    new = {w for w in words if w not in _known}
-    if len(_known) + len(new) > KNOWN_WORDS:
-        _known.clear()
-        new = set(words)
-    _known.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+#: A number per byte value, by which words of few letters differ in all bits.
+LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+IS_SPACE = np.isin(np.arange(256), np.frombuffer(SPACES, np.uint8))
+#: Sums modulo 2^64 cannot tell certain very long strings apart; longer words are hashed one by one.
+LONG_WORD = 256
 
 
 _powers: dict[int, np.ndarray] = {}
@@ -80,22 +73,60 @@ def rolling(marks: np.ndarray, size: int) -> np.ndarray:
     return mixed((sums[size:] - sums[:-size]) * powers(inverse, n))
 
 
+def runs_of_letters(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word; words end with their text."""
+    space = IS_SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[0] = edge[np.cumsum(sizes)] = True
+    begins = np.flatnonzero(~space & (edge[:-1] | np.concatenate(([True], space[:-1]))))
+    ends = np.flatnonzero(~space & (edge[1:] | np.concatenate((space[1:], [True])))) + 1
+    return begins, ends
+
+
+def word_marks(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words, by prefix sums of a polynomial over their bytes modulo 2^64."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(LETTERS[data] * powers(BASE, len(data)), out=sums[1:])
+    inverse = powers(pow(BASE, -1, 1 << 64), len(data))
+    marks = mixed((sums[ends] - sums[begins]) * inverse[begins] + (ends - begins).astype(np.uint64))
+    for k in np.flatnonzero(ends - begins > LONG_WORD):
+        marks[k] = xxhash.xxh3_64_intdigest(data[begins[k] : ends[k]].tobytes())
+    return marks
+
+
 class Words:
-    """The words of a chunk in one row, with the documents' bounds."""
+    """The words of a chunk in one row, as places in its bytes, with the documents' bounds."""
 
     def __init__(self, row: dict):
-        self.ids, at = row["ids"], 0
-        self.words, counts = [], []
-        for size in row["sizes"]:
-            found = row["data"][at : at + size].split()
-            at += size
-            self.words += found
-            counts.append(len(found))
-        self.ends = np.cumsum(counts, dtype=np.int64)
-        self.begins = self.ends - counts
-        self.marks = word_marks(self.words)
-        self.place = np.arange(len(self.words)) - np.repeat(self.begins, counts)
-        self.rest = np.repeat(self.ends, counts) - np.arange(len(self.words))
+        self.ids, sizes = row["ids"], np.array(row["sizes"], np.int64)
+        self.data = np.frombuffer(row["data"], np.uint8)
+        self.byte_ends = np.cumsum(sizes)
+        self.first, self.last = runs_of_letters(self.data, sizes)
+        self.n = len(self.first)
+        self.ends = np.searchsorted(self.first, self.byte_ends)
+        self.begins = np.concatenate(([0], self.ends[:-1])).astype(np.int64)
+        counts = self.ends - self.begins
+        self.marks = word_marks(self.data, self.first, self.last)
+        self.place = np.arange(self.n) - np.repeat(self.begins, counts)
+        self.rest = np.repeat(self.ends, counts) - np.arange(self.n)
+
+    def kept_texts(self, keep: np.ndarray) -> pa.Array:
+        """For every document its kept words, joined by single spaces."""
+        kept = np.flatnonzero(keep)
+        doc = np.searchsorted(self.ends, kept, "right")
+        # A word takes the space after it along, unless it is the last that its document keeps.
+        more = np.concatenate((doc[1:] == doc[:-1], [False])) if len(kept) else np.zeros(0, bool)
+        change = np.zeros(len(self.data) + 2, np.int8)
+        change[self.first[kept]] += 1
+        np.add.at(change, self.last[kept] + more, -1)
+        taken = np.cumsum(change[: len(self.data)], dtype=np.int8) > 0
+        text = np.where(IS_SPACE[self.data[taken]], np.uint8(32), self.data[taken])
+        sums = np.concatenate(([0], np.cumsum(taken)))
+        offsets = np.concatenate(([0], sums[self.byte_ends])).astype(np.int64)
+        found = pa.Array.from_buffers(
+            pa.large_string(), len(self.byte_ends), [None, pa.py_buffer(offsets), pa.py_buffer(text)]
+        )
+        return found.cast(pa.string())
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of all runs of ``size`` words inside a document."""
@@ -116,7 +147,7 @@ class Probes:
 
     def candidates(self, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Starts and keys of the windows around hits, and the distinct keys with flags."""
-        hit = np.zeros(len(self.words.words) + 1, np.int64)
+        hit = np.zeros(self.words.n + 1, np.int64)
         hit[self.at[marks_at(self.keys, self.distinct, marks) > 0]] = 1
         sums = np.concatenate(([0], np.cumsum(hit)))
         at, hashes = self.words.windows(self.window)
@@ -149,20 +180,17 @@ def _remove(window: int, width: int):
             words = Words(row)
             at, keys, distinct, _ = Probes(words, window, width).candidates(marks_of(row["probes"]))
             repeated = at[marks_at(keys, distinct, marks_of(row["windows"])) > 0]
-            change = np.zeros(len(words.words) + 1, np.int64)
+            change = np.zeros(words.n + 1, np.int64)
             np.add.at(change, repeated, 1)
             np.add.at(change, repeated + window, -1)
             keep = np.cumsum(change)[:-1] == 0
-            kept = [
-                b" ".join(compress(words.words[a:b], keep[a:b])) for a, b in zip(words.begins, words.ends)
-            ]
             gone = np.concatenate(([0], np.cumsum(~keep)))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(words.ids, pa.int64()),
                     pa.array(words.ends - words.begins, pa.int64()),
                     pa.array(gone[words.ends] - gone[words.begins], pa.int64()),
-                    pa.array(kept, pa.binary()).cast(pa.string()),
+                    words.kept_texts(keep),
                     removed_spans(keep, words.begins, words.ends),
                 ],
                 ["doc_id", "n_words", "n_removed", "kept", "spans"],
@@ -188,7 +216,7 @@ def substring_texts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Every word covered by a window whose words also start anywhere else is removed; all copies
     go, the first as well.  A null, empty or blank text has no words, and a text of fewer words
     than a window keeps all.  Repeated rows count as further copies.  An empty table gives
-    no row.  A chunk, and so the longest text, must fit a task's memory about forty times.
+    no row.  A chunk, and so the longest text, must fit a task's memory about fifty times.
     """
     chunks = stored_chunks(docs, CHUNK_BYTES)
     size = total_bytes(chunks) // 4
