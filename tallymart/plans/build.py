@@ -5,11 +5,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import churn, forecast, kpis, marts, quality, segments
+from ..config import PRODUCT_CATEGORIES
+from ..operators import churn, forecast, kpis, marts, metrics, quality, segments
 from ..operators.enrich import enrich_orders
 from ..operators.staging import stage_customers, stage_events, stage_orders, stage_products
 from ..sources.warehouse import EXPORT_SCHEMAS, Warehouse, export_csv, write_quality_report
 
+# How the churn model did on its test rows, and its weights.
+EVALUATION = ("churn_report", "churn_confusion", "churn_auc", "churn_coefficients")
 MARTS = ("mart_daily_revenue", "mart_customer_lifetime", "mart_product_performance")
 
 
@@ -84,11 +87,16 @@ class RetailWarehouse:
             self.warehouse.write(df, f"analytics.{name}")
 
     def build_models(self, train_before: str | None = None, snapshot: str | None = None) -> None:
-        """Segments, churn predictions and forecast as tables."""
+        """Segments, churn predictions with their evaluation, and forecasts as tables."""
         lifetime, customers = self.mart("mart_customer_lifetime"), self.staged()["stg_customers"]
         day = None if snapshot is None else F.lit(snapshot).cast("date")
         run = churn.ChurnRun(lifetime, customers, day)
+        tested = run.test_predictions()
         outputs = {
+            "churn_report": metrics.classification_report(tested),
+            "churn_confusion": metrics.confusion(tested),
+            "churn_auc": metrics.roc_auc(tested),
+            "churn_coefficients": run.coefficients(),
             "mart_customer_segments": segments.customer_segments(lifetime, day),
             "mart_churn_predictions": run.predictions(),
             "mart_revenue_forecast": forecast.revenue_forecast(
@@ -114,6 +122,14 @@ class RetailWarehouse:
             write_quality_report(results, report_path)
         return results
 
+    def evaluation(self) -> dict[str, DataFrame]:
+        """The stored evaluation of the churn model."""
+        return {name: self.mart(name) for name in EVALUATION}
+
+    def check_columns(self, categories=PRODUCT_CATEGORIES) -> DataFrame:
+        """The twelve column tests of the staged views."""
+        return quality.run_column_tests(self.staged(), quality.standard_column_tests(categories))
+
     def export(self, folder: str) -> None:
         """Every table the dashboard reads, as CSV."""
         staged = self.staged()

@@ -248,3 +248,30 @@ def test_a_load_that_fails_halfway_leaves_the_old_table(spark, tmp_path):
     assert list(warehouse.versions("raw.t").values()) == [True, True]  # failed loads are gone
     warehouse.write(warehouse.read("raw.t").where("id < 3"), "raw.t")  # reads what it replaces
     assert warehouse.read("raw.t").count() == 3
+
+
+def test_models_leave_their_evaluation(retail):
+    found = {name: df.collect() for name, df in retail.evaluation().items()}
+    assert [r["class"] for r in found["churn_report"]] == ["0", "1", "accuracy", "macro avg", "weighted avg"]
+    tested = sum(r["n"] for r in found["churn_confusion"])
+    active = retail.mart("mart_churn_predictions").count()
+    assert abs(tested - active * 0.2) <= 1  # each of the two classes rounds its share
+    assert 0 <= found["churn_auc"][0]["auc"] <= 1
+    weights = [r["coefficient"] for r in found["churn_coefficients"]]
+    assert weights == sorted(weights) and len(weights) == 11
+
+
+def test_column_tests_of_a_warehouse(retail):
+    got = retail.check_columns(("ECONOMY", "LARGE")).collect()
+    assert len(got) == 12
+    accepted = [r for r in got if r["column"] == "category"]
+    assert [r["status"] for r in accepted] == ["FAIL"]
+
+
+def test_quality_limits_on_the_command_line():
+    from tallymart.__main__ import parse
+
+    plain = parse(["quality", "--root", "/w"])
+    assert (plain.min_orders, plain.min_customers, plain.min_days, plain.category) == (9000, 1900, 400, None)
+    told = parse(["quality", "--root", "/w", "--min-orders", "5", "--category", "A", "--category", "B"])
+    assert told.min_orders == 5 and told.category == ["A", "B"]
