@@ -27,8 +27,8 @@ from ..operators import (
 )
 from ..operators.ranking import percentile_rank
 from ..session import pin, scratch_folder
-from ..sources import star
-from ..sources.warehouse import row_counts
+from ..sources import files, star
+from ..sources.warehouse import Warehouse, export_csv, read_mart_csv, row_counts
 from ..streaming import events as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,6 +206,34 @@ class Retail:
         return stream.read_events_table(self.spark, source, f"{folder}/out")
 
 
+def _csv_round_trip(t: Retail, raw: DataFrame, read) -> DataFrame:
+    """A raw table written as a CSV file folder and read by its loader."""
+    folder = scratch_folder(t.spark, "csv")
+    export_csv(raw, folder)
+    return read(t.spark, folder)
+
+
+def _jsonl_round_trip(t: Retail) -> DataFrame:
+    folder = scratch_folder(t.spark, "jsonl")
+    t.raw_events.withColumn("event_time", F.col("event_time").cast("string")).write.json(folder)
+    return files.read_events(t.spark, folder)
+
+
+def _exported(t: Retail) -> DataFrame:
+    """A mart loaded into a warehouse, exported as CSV and read back typed."""
+    folder = scratch_folder(t.spark, "export")
+    stored = Warehouse(t.spark, f"{folder}/warehouse").write(t.daily, "analytics.mart_daily_revenue")
+    export_csv(stored, f"{folder}/mart_daily_revenue.csv")
+    return read_mart_csv(t.spark, folder, "mart_daily_revenue")
+
+
+def _reloaded(t: Retail) -> DataFrame:
+    """A table after a full load over an earlier one: the rows of the second alone."""
+    warehouse = Warehouse(t.spark, scratch_folder(t.spark, "reload"))
+    warehouse.write(t.products.unionAll(t.products), "raw.products")
+    return warehouse.write(t.products, "raw.products")
+
+
 def _rfm_clusters(t: Retail) -> DataFrame:
     grid = pin(segments.score_grid(t.scored))
     return segments.assign_clusters(t.scored, grid, segments.fit_clusters(grid)).select(
@@ -277,6 +305,12 @@ QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
             "raw.events": t.raw_events,
         }
     ),
+    "csv_products": lambda t: _csv_round_trip(t, t.raw_products, files.read_products),
+    "csv_customers": lambda t: _csv_round_trip(t, t.raw_customers, files.read_customers),
+    "csv_orders": lambda t: _csv_round_trip(t, t.raw_orders, files.read_orders),
+    "jsonl_events": _jsonl_round_trip,
+    "exported_daily_revenue": _exported,
+    "reloaded_products": _reloaded,
     "stg_orders": lambda t: t.orders,
     "stg_customers": lambda t: t.customers,
     "stg_products": lambda t: t.products,
@@ -306,6 +340,7 @@ QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "executive_kpis": lambda t: kpis.executive_kpis(
         kpis.in_date_range(t.daily, "order_date", RANGE_START, RANGE_END)
     ),
+    "executive_kpis_whole": lambda t: kpis.executive_kpis(kpis.in_date_range(t.daily, "order_date")),
     "daily_series": lambda t: kpis.daily_series(t.daily),
     "category_revenue": lambda t: kpis.category_revenue(t.orders, t.products),
     "channel_customers": lambda t: kpis.channel_customers(t.customers),

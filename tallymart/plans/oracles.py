@@ -431,6 +431,24 @@ SELECTS = {
         union all select 'raw.customers', count(*) from raw_customers
         union all select 'raw.orders', count(*) from raw_orders
         union all select 'raw.events', count(*) from raw_events""",
+    "csv_products": """
+        select * replace (cast(product_id as varchar) as product_id) from raw_products""",
+    "csv_customers": """
+        select * replace (cast(customer_id as varchar) as customer_id,
+                          cast(cast(signup_date as date) as varchar) as signup_date)
+        from raw_customers""",
+    "csv_orders": """
+        select * replace (cast(customer_id as varchar) as customer_id,
+                          cast(product_id as varchar) as product_id,
+                          cast(order_date as varchar) as order_date)
+        from raw_orders""",
+    "jsonl_events": """
+        select * replace (cast(event_id as varchar) as event_id,
+                          cast(customer_id as varchar) as customer_id,
+                          cast(event_time as varchar) as event_time)
+        from raw_events""",
+    "exported_daily_revenue": "select * from daily",
+    "reloaded_products": "select * from stg_products",
     "stg_orders": "select * from stg_orders",
     "stg_customers": "select * from stg_customers",
     "stg_products": "select * from stg_products",
@@ -471,6 +489,13 @@ SELECTS = {
                    / (cast(count(avg_order_value) as double) * 100e0) as mean_daily_aov,
                cast(sum(unique_customers) as bigint) as sum_daily_unique_customers
         from daily where order_date between date '{RANGE_START}' and date '{RANGE_END}'""",
+    "executive_kpis_whole": f"""
+        select {_money(f"sum({CENTS})")} as total_revenue,
+               cast(sum(total_orders) as bigint) as total_orders,
+               cast(sum({_cents("avg_order_value")}) as double)
+                   / (cast(count(avg_order_value) as double) * 100e0) as mean_daily_aov,
+               cast(sum(unique_customers) as bigint) as sum_daily_unique_customers
+        from daily""",
     "daily_series": "select order_date, total_revenue from daily order by order_date",
     "category_revenue": f"""
         select category, {_money(f"sum({LINE})")} as revenue
