@@ -1,37 +1,40 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Texts and items are reduced to lower-case words with single spaces.  Items are cut into
-overlapping windows of ``WINDOW`` characters.  A region of a text that is within ``e`` edits of
+Texts and items are reduced to lower-case words with single spaces.  Every run of ``WINDOW``
+characters of an item is a window; a shorter item is one window.  A region of a text that is within ``e`` edits of
 a window of ``w`` characters shares at least ``w + 1 - q (e + 1)`` of its q-grams, and these lie
 on diagonals (position in the text less position in the item) at most ``e`` apart.  So shared
 q-grams are counted in diagonal bands that overlap by half; regions that reach the bound are
 verified by an alignment restricted to the band.
 
-No text is shuffled: the items' q-grams go to the tasks in blocks of at most ``BLOCK_CHARS``
-characters, and a larger benchmark takes one pass for each block.
+No text is shuffled.  Distinct items go to the tasks in blocks of about ``BLOCK_CHARS``
+characters; a larger benchmark takes one pass for each block, whose result is stored before the
+driver reads the next block.  A text is held by one task, with some ten times its size in memory.
 """
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import pin
 from .common import documents, raw_bytes, slices
 
 Q = 12
 WINDOW = 80
-STRIDE = 16
 EDITS = 5
+#: Windows that are aligned at a time.
+ALIGNED = 4096
 BLOCK_CHARS = 1 << 20
 BATCH_BYTES = 4 << 20
 FILTER_BITS = 22
 
 WORD = re.compile(r"[^\W_]+")
-REGIONS = "doc_id long, item_id long, begin long, end long, edits int"
+REGIONS = "doc_id long, digest string, item_id long, begin long, end long, edits int"
 
 
 def reduced(text: str) -> str:
@@ -59,13 +62,19 @@ def gram_hashes(points: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Window:
-    item: int
-    begin: int
+class Rule:
+    """What holds for every window of an item: its size, the edits it allows, the q-grams it must share."""
+
     size: int
     edits: int
     least: int
 
+    @classmethod
+    def of(cls, length: int) -> "Rule":
+        size = min(WINDOW, length)
+        edits = min(EDITS * size // WINDOW, (size + 1) // Q - 1)
+        return cls(size, edits, size + 1 - Q * (edits + 1))
+
 
 class BenchmarkIndex:
     """q-grams of a block of items, sorted by hash, with a bit filter before them."""
@@ -81,8 +90,8 @@ class BenchmarkIndex:
         self.hashes, self.owner, self.place = hashes[order], owner[order], place[order]
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.hashes >> np.uint64(64 - FILTER_BITS)] = True
-        self.windows = [item_windows(k, len(p)) for k, p in enumerate(self.points)]
-        self.least = min((w.least for ws in self.windows for w in ws), default=1)
+        self.rules = [Rule.of(len(p)) for p in self.points]
+        self.least = min((r.least for r in self.rules), default=1)
 
     def hits(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Positions in the text, items and positions in the items of all shared q-grams."""
@@ -94,45 +103,54 @@ class BenchmarkIndex:
         return np.repeat(at, n), self.owner[entry], self.place[entry]
 
 
-def item_windows(item: int, length: int) -> list[Window]:
-    """Windows every STRIDE characters and one at the end; a short item is one window."""
-    if length < Q:
-        return []
-    size = min(WINDOW, length)
-    begins = sorted({*range(0, length - size + 1, STRIDE), length - size})
-    edits = min(EDITS * size // WINDOW, (size + 1) // Q - 1)
-    return [Window(item, b, size, edits, size + 1 - Q * (edits + 1)) for b in begins]
-
-
-def aligned(pattern: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int]:
-    """Least edits of the pattern against the text on diagonals low..high, and the end.
+def aligned(
+    item: np.ndarray, text: np.ndarray, low: int, high: int, begins=(0,), size: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Least edits of windows of an item against the text on diagonals low..high, and their ends.
 
-    Text before and after the region is free.  Cells outside the text cost more than any match.
+    A diagonal is the place in the text less the place in the item.  Text before and after the
+    region is free.  Cells outside the text cost more than any match.
     """
-    far = len(pattern) + len(text) + 1
+    begins = np.asarray(begins)
+    size = len(item) if size is None else size
+    far = size + len(text) + 1
+    padded = np.append(text, 0)
     shift = np.arange(low, high + 1)
-    at = np.arange(len(pattern))[:, None] + shift
+    start = begins[:, None] + shift
+    cost = np.where((start >= 0) & (start <= len(text)), 0, far)
+    up = np.full(cost.shape, far)
+    for row in range(size):
+        at = start + row
+        inside = (at >= 0) & (at < len(text))
+        # The cost of a step along the diagonal, and of a character left out of the text.
+        step = np.where(inside, padded[np.where(inside, at, -1)] != item[begins + row][:, None], far)
+        skip = np.where(inside | (at == -1), 1, far)
+        up[:, :-1] = cost[:, 1:] + skip[:, :-1]
+        cost = np.minimum.accumulate(np.minimum(cost + step, up) - shift, axis=1) + shift
+    best = np.argmin(cost, axis=1)
+    return cost[np.arange(len(begins)), best], begins + size + shift[best]
+
+
+def exact(item: np.ndarray, text: np.ndarray, diagonal: int, begins: np.ndarray, size: int) -> np.ndarray:
+    """Whether windows of an item stand in the text, unchanged, on a diagonal."""
+    at = np.arange(len(item)) + diagonal
     inside = (at >= 0) & (at < len(text))
-    padded = np.append(text, 0)
-    # The cost of a step along the diagonal, and of a character left out of the text.
-    step = np.where(inside, padded[np.where(inside, at, -1)] != pattern[:, None], far)
-    skip = np.where((at >= -1) & (at < len(text)), 1, far)
-    cost = np.where((shift >= 0) & (shift <= len(text)), 0, far)
-    up = np.full(len(shift), far)
-    for row in range(len(pattern)):
-        up[:-1] = cost[1:] + skip[row, :-1]
-        cost = np.minimum.accumulate(np.minimum(cost + step[row], up) - shift) + shift
-    k = int(np.argmin(cost))
-    return int(cost[k]), len(pattern) + int(shift[k])
+    wrong = ~inside
+    wrong[inside] = text[at[inside]] != item[inside]
+    before = np.concatenate(([0], np.cumsum(wrong)))
+    return before[begins + size] == before[begins]
 
 
 def regions(index: BenchmarkIndex, points: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(item number, begin, end, edits) of verified windows, merged where they overlap."""
+    """(item number, begin, end, edits) of verified windows, merged where they overlap.
+
+    ``edits`` is that of the worst window.
+    """
     at, item, place = index.hits(points)
     if len(at) < index.least:
         return []
     width = 2 * (EDITS + 1)
-    found = []
+    found = set()
     for offset in (0, width // 2):
         band = (at - place + offset) // width
         order = np.lexsort((place, band, item))
@@ -141,29 +159,30 @@ def regions(index: BenchmarkIndex, points: np.ndarray) -> list[tuple[int, int, i
         bounds = np.concatenate(([0], edges, [len(i)]))
         for k in np.flatnonzero(np.diff(bounds) >= index.least):
             lo, hi = bounds[k], bounds[k + 1]
+            number = int(i[lo])
+            rule, pattern = index.rules[number], index.points[number]
+            begins = np.arange(len(pattern) - rule.size + 1)
             seen = np.unique(p[lo:hi])
-            first = int(b[lo]) * width - offset
-            for w in index.windows[i[lo]]:
-                inner = np.searchsorted(seen, [w.begin, w.begin + w.size - Q + 1])
-                if inner[1] - inner[0] < w.least:
-                    continue
-                pattern = index.points[w.item][w.begin : w.begin + w.size]
-                begin = w.begin + int(np.median(at[order[lo:hi]] - p[lo:hi]))
-                if begin >= 0 and np.array_equal(points[begin : begin + w.size], pattern):
-                    found.append((w.item, begin, begin + w.size, 0))
-                    continue
-                low = w.begin + first - w.edits
-                edits, end = aligned(pattern, points, low, low + width - 1 + 2 * w.edits)
-                if edits <= w.edits:
-                    found.append((w.item, max(0, end - w.size), end, edits))
+            shared = np.searchsorted(seen, begins + rule.size - Q + 1) - np.searchsorted(seen, begins)
+            begins = begins[shared >= rule.least]
+            diagonal = int(np.median(at[order[lo:hi]] - p[lo:hi]))
+            same = exact(pattern, points, diagonal, begins, rule.size)
+            found.update((number, x, x + rule.size, 0) for x in (begins[same] + diagonal).tolist())
+            begins = begins[~same]
+            low = int(b[lo]) * width - offset - rule.edits
+            high = low + width - 1 + 2 * rule.edits
+            for cut in range(0, len(begins), ALIGNED):
+                edits, ends = aligned(pattern, points, low, high, begins[cut : cut + ALIGNED], rule.size)
+                for e, end in zip(edits.tolist(), ends.tolist()):
+                    if e <= rule.edits:
+                        found.add((number, max(0, end - rule.size), end, e))
     merged = []
-    for number, group in groupby(sorted(set(found)), key=lambda r: r[0]):
-        for _, begin, end, edits in group:
-            if merged and merged[-1][0] == number and begin <= merged[-1][2]:
-                _, b, e, m = merged[-1]
-                merged[-1] = (number, b, max(e, end), max(m, edits))
-            else:
-                merged.append((number, begin, end, edits))
+    for number, begin, end, edits in sorted(found):
+        if merged and merged[-1][0] == number and begin <= merged[-1][2]:
+            _, first, last, most = merged[-1]
+            merged[-1] = (number, first, max(last, end), max(most, edits))
+        else:
+            merged.append((number, begin, end, edits))
     return merged
 
 
@@ -182,69 +201,83 @@ def _scan(index: BenchmarkIndex):
     def run(batches):
         for batch in slices(batches, "text", BATCH_BYTES):
             rows = []
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), raw_bytes(batch.column("text"))):
+            keys = zip(batch.column("doc_id").to_pylist(), batch.column("digest").to_pylist())
+            for key, raw in zip(keys, raw_bytes(batch.column("text"))):
                 text = raw.decode()
                 for number, begin, end, edits in regions(index, code_points(reduced(text))):
-                    rows.append((doc, index.ids[number], *in_original(text, begin, end), edits))
+                    rows.append((*key, index.ids[number], *in_original(text, begin, end), edits))
             if rows:
-                kinds = [pa.int64()] * 4 + [pa.int32()]
+                kinds = [pa.int64(), pa.string(), *[pa.int64()] * 3, pa.int32()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                    ["doc_id", "item_id", "begin", "end", "edits"],
+                    ["doc_id", "digest", "item_id", "begin", "end", "edits"],
                 )
 
     return run
 
 
-def indexes(benchmark: DataFrame) -> list[BenchmarkIndex]:
-    """Indexes over blocks of the benchmark; items of equal reduced text share the least id.
+def indexes(benchmark: DataFrame) -> Iterator[BenchmarkIndex]:
+    """Indexes over blocks of the benchmark, one at a time.
 
-    Items without item_id or with under Q characters of reduced text are ignored.
+    Items of equal text share the least id, and so do items of a block whose texts are equal
+    once reduced.  Items without item_id or with under Q characters of reduced text are ignored.
     """
-    texts = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(
-        F.col("item_id").isNotNull() & F.col("text").isNotNull()
+    texts = (
+        benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+        .where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+        .groupBy("text")
+        .agg(F.min("item_id").alias("item_id"))
     )
     total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     count = int(total // BLOCK_CHARS + 1)
-    found = []
     for block in range(count):
         items: dict[str, int] = {}
-        for i, t in texts.where(F.pmod(F.xxhash64("text"), F.lit(count)) == block).collect():
+        for t, i in texts.where(F.pmod(F.xxhash64("text"), F.lit(count)) == block).collect():
             t = reduced(t)
             items[t] = min(i, items.get(t, i))
         kept = sorted((i, t) for t, i in items.items() if len(t) >= Q)
         if kept:
-            found.append(BenchmarkIndex(kept))
-    return found
+            yield BenchmarkIndex(kept)
+
+
+def digested(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a digest that, with doc_id, tells texts apart."""
+    return documents(docs).withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
 
 
 def contaminated_regions(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, begin, end (code points, end exclusive), edits of every region."""
-    texts = documents(docs)
+    """doc_id, digest (MD5 of the text), item_id, begin, end (code points, end exclusive), edits.
+
+    Rows equal in doc_id and text give their regions once each.
+    """
+    texts = digested(docs)
     found = docs.sparkSession.createDataFrame([], REGIONS)
     for index in indexes(benchmark):
-        found = found.unionAll(texts.mapInArrow(_scan(index), REGIONS))
+        found = found.unionAll(pin(texts.mapInArrow(_scan(index), REGIONS), "regions"))
     return found
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, n_regions, regions for every row of (doc_id, text).
 
-    ``regions`` lists item:begin:end:edits by begin, comma-joined.  A null or empty text is
-    clean, and so is every text if the benchmark is empty.  Rows that repeat a doc_id are
-    judged together; rows without doc_id too.
+    ``regions`` lists item:begin:end:edits by begin, comma-joined.  Every row is judged by its own
+    text, also where doc_id repeats or is missing.  A null or empty text is clean, and so is every
+    text if the benchmark is empty.  Texts of any length are read whole.  A passage that several
+    items share counts for each.  Other columns are left out, whatever their names.
     """
     region = F.struct("begin", "end", "item_id", "edits")
-    per_doc = (
+    per_text = (
         contaminated_regions(docs, benchmark)
-        .groupBy(F.col("doc_id").alias("hit_id"))
-        .agg(F.sort_array(F.collect_set(region)).alias("found"))
+        .distinct()
+        .groupBy(F.col("doc_id").alias("hit_id"), F.col("digest").alias("hit_digest"))
+        .agg(F.sort_array(F.collect_list(region)).alias("found"))
     )
     said = F.transform(
         "found", lambda r: F.concat_ws(":", r["item_id"], r["begin"], r["end"], r["edits"])
     )
-    ids = docs.select(F.col("doc_id").cast("long"))
-    return ids.join(per_doc, ids["doc_id"].eqNullSafe(per_doc["hit_id"]), "left").select(
+    rows = digested(docs).select("doc_id", "digest")
+    same = rows["doc_id"].eqNullSafe(per_text["hit_id"]) & (rows["digest"] == per_text["hit_digest"])
+    return rows.join(per_text, same, "left").select(
         "doc_id",
         F.col("found").isNotNull().alias("contaminated"),
         F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_regions"),
@@ -262,7 +295,12 @@ def _touched(index: BenchmarkIndex):
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows whose own text has no region; all columns stay and no text is shuffled."""
-    for index in indexes(benchmark):
+    """The rows whose own text has no region; all columns stay and no text is shuffled.
+
+    Rows are stored between the passes of a benchmark of several blocks.
+    """
+    for k, index in enumerate(indexes(benchmark)):
+        if k:
+            docs = pin(docs, "decontaminated")
         docs = docs.where(~_touched(index)(docs["text"].cast("string")))
     return docs

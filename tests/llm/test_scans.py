@@ -128,6 +128,69 @@ def test_decontaminate(spark, docs, no_docs, prose):
     assert not any(r.contaminated for r in decontaminate.decontaminate(frame, bench.limit(0)).collect())
 
 
+def test_decontaminate_finds_passages_from_any_place(spark, prose):
+    rng = random.Random(31)
+    size = decontaminate.WINDOW
+    items = [(k, prose(60)) for k in range(8)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = []
+    for k, item in items:
+        item = decontaminate.reduced(item)
+        for begin in range(0, 40):
+            texts.append((len(texts), f"{prose(20)} {item[begin : begin + size].strip()} {prose(20)}"))
+    frame = spark.createDataFrame(texts + [(len(texts), prose(400))], "doc_id long, text string")
+    got = {r.doc_id for r in decontaminate.decontaminate(frame, bench).where("contaminated").collect()}
+    assert got == set(range(len(texts)))
+
+
+def test_decontaminate_query_against_brute_force(spark, prose, tmp_path):
+    rng = random.Random(77)
+    items = [(1, prose(14)), (2, prose(16)), (3, prose(9)[:60])]
+    parts = [decontaminate.reduced(t) for _, t in items]
+    texts = []
+    for part in parts:
+        for changes in (0, 3, 5, 6, 9):
+            begin = rng.randrange(max(1, len(part) - decontaminate.WINDOW))
+            cut = list(part[begin : begin + decontaminate.WINDOW])
+            for at in rng.sample(range(len(cut)), changes):
+                cut[at] = "Z" if rng.random() < 0.5 else cut[at] + "q"
+            texts.append((len(texts) // 2, prose(4) + " " + "".join(cut) + " " + prose(4)))
+    texts += [(None, texts[0][1]), (None, prose(12)), (90, ""), (91, None)]
+    frame = spark.createDataFrame([(*t, "x", 1) for t in texts], "doc_id long, text string, digest string, found int")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = Counter()
+    for doc, text in texts:
+        text = decontaminate.reduced(text or "")
+        hit = False
+        for part in parts:
+            rule = decontaminate.Rule.of(len(part))
+            for begin in range(len(part) - rule.size + 1):
+                hit = hit or brute.edits(part[begin : begin + rule.size], text) <= rule.edits
+        want[doc, hit] += 1
+    got = catalog.QUERIES["op4_decontaminate"](spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.contaminated) for r in got) == want
+    assert {hit for _, hit in want} == {True, False}
+    assert all((r.n_regions > 0) == r.contaminated == bool(r.regions) for r in got)
+
+
+def test_decontaminate_in_blocks_and_long_texts(spark, prose, monkeypatch):
+    items = [(k, prose(40)) for k in range(5)]
+    bench = spark.createDataFrame(items + items, "item_id long, text string")
+    long = prose(60_000) + " " + items[3][1] + " " + prose(60_000)
+    rows = [(1, long), (2, items[0][1]), (2, prose(50)), (None, items[4][1]), (None, prose(30)), (3, items[0][1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(decontaminate.decontaminate(frame, bench).collect(), key=str)
+    left = Counter(decontaminate.without_contaminated(frame, bench).collect())
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 100)
+    assert sorted(decontaminate.decontaminate(frame, bench).collect(), key=str) == whole
+    assert Counter(decontaminate.without_contaminated(frame, bench).collect()) == left
+    assert Counter((r.doc_id, r.contaminated) for r in whole) == Counter(
+        [(1, True), (2, True), (2, False), (None, True), (None, False), (3, True)]
+    )
+    assert left == Counter([(2, rows[2][1]), (None, rows[4][1])])
+
+
 def test_alignment_and_lemma():
     rng = random.Random(4)
     for _ in range(150):
