@@ -1,5 +1,7 @@
 """KPI tables behind the dashboard pages and the weekly report."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -8,6 +10,8 @@ from ..functions.money import (
     PRICE_UNITS,
     amount,
     cents,
+    decimal_line,
+    in_units,
     mean_amount,
     mean_count,
     price_units,
@@ -341,12 +345,22 @@ def top_category(orders: DataFrame, products: DataFrame) -> DataFrame:
     """The category with the highest completed ``quantity * unit_price``, to whole money.
 
     Lines are not rounded before they are summed.  Summed as decimals: in units of
-    ``1 / PRICE_UNITS`` a large category outgrows a LONG.
+    ``1 / PRICE_UNITS`` a large category outgrows a LONG.  Lines whose price is not a whole
+    number of units are summed beside them.
     """
-    whole = "decimal(18,0)"
-    line = F.col("quantity").cast(whole) * price_units(F.col("unit_price")).cast(whole)
-    per_product = completed(orders).groupBy("product_id").agg(F.sum(line).alias("units"))
-    revenue = F.sum("units").cast("decimal(30,0)") / F.lit(PRICE_UNITS)
+    whole, sums = "decimal(18,0)", "decimal(37,15)"
+    quantity, price = F.col("quantity"), F.col("unit_price")
+    quick = in_units(price, quantity)
+    line = F.when(quick, quantity.cast(whole) * price_units(price).cast(whole))
+    rest = F.when(~quick, decimal_line(quantity, price))
+    per_product = (
+        completed(orders).groupBy("product_id").agg(F.sum(line).alias("units"), F.sum(rest).alias("rest"))
+    )
+    unit = F.lit(Decimal(1) / PRICE_UNITS)
+    none = F.lit(0).cast(sums)
+    revenue = F.coalesce((F.sum("units").cast("decimal(30,0)") * unit).cast(sums), none) + F.coalesce(
+        F.sum("rest").cast(sums), none
+    )
     return (
         inner_category(per_product, products)
         .groupBy("category")

@@ -4,15 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import COMPLETED
-from ..functions.money import (
-    PRICE_UNITS,
-    amount,
-    cents,
-    half_up_div,
-    line_cents,
-    percent,
-    price_units,
-)
+from ..functions.money import amount, cents, line_cents, margin
 
 
 def _typed(col: str, kind: str, strict: bool) -> Column:
@@ -57,7 +49,7 @@ def stage_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 def stage_products(raw: DataFrame) -> DataFrame:
     """Products sold above cost, with margin in money and percent."""
-    price, cost = price_units(F.col("list_price")), price_units(F.col("cost_price"))
+    gross, share = margin(F.col("list_price"), F.col("cost_price"))
     return raw.where(
         F.col("product_id").isNotNull() & (F.col("list_price") > F.col("cost_price"))
     ).select(
@@ -66,8 +58,8 @@ def stage_products(raw: DataFrame) -> DataFrame:
         "category",
         "cost_price",
         "list_price",
-        amount(half_up_div(price - cost, F.lit(PRICE_UNITS // 100))).alias("gross_margin"),
-        percent(price - cost, price).alias("margin_pct"),
+        amount(gross).alias("gross_margin"),
+        share.alias("margin_pct"),
     )
 
 

@@ -180,6 +180,18 @@ def test_category_revenue_outgrows_a_long_in_price_units(spark):
     assert got["revenue"] == 4 * 2e9 * 400_000.125
 
 
+def test_category_revenue_keeps_every_digit_of_a_price(spark):
+    rows = [(f"o{k}", "c", p, "2024-01-01", 1_000_000, x, "completed") for k, (p, x) in enumerate(
+        [("p", 0.0000004), ("p", 0.0000001), ("p", 0.000001), ("r", 0.0000013), ("x", 9.0)])]
+    raw = spark.createDataFrame(
+        rows, "order_id string, customer_id string, product_id string, order_date string, quantity int, "
+        "unit_price double, status string",
+    )
+    products = spark.createDataFrame([("p", "Home"), ("r", "Toys")], "product_id string, category string")
+    got = kpis.top_category(staging.stage_orders(raw), products).first()
+    assert tuple(got) == ("Home", 2.0)  # 1.50 against 1.30
+
+
 def test_category_revenue_leaves_out_unknown_products(staged):
     got = kpis.category_revenue(staged["stg_orders"], staged["stg_products"])
     assert [tuple(r) for r in got.collect()] == [("Sports", 151.0), ("Home", 90.03)]

@@ -91,3 +91,34 @@ def test_small_prices_and_negative_means(spark):
         half_up_div(F.lit(5), F.lit(0)).alias("e"),
     ).first()
     assert tuple(row) == (123, 900, -3.5, -3.3, None)
+
+
+def test_prices_of_any_digits_are_exact(spark):
+    rng = np.random.default_rng(5)
+    rows = [(1_000_000, 0.0000004), (2_000_000_000, 0.000000001), (3, 1.23456789), (2_000_000_000, 400_000.125)]
+    rows += [(1, 123456789012.345), (7, 999999999.999999), (200, 0.0000250000001), (200, 0.000025)]
+    rows += [
+        (int(q), float(Decimal(int(u)).scaleb(-int(d))))
+        for q, u, d in zip(rng.integers(1, 10**6, 2000), rng.integers(1, 10**9, 2000), rng.integers(2, 12, 2000))
+    ]
+    priced = spark.createDataFrame(rows, "q int, p double")
+    for q, p, cents in priced.select("q", "p", money.line_cents(F.col("q"), F.col("p"))).collect():
+        assert cents == half_up(Decimal(repr(p)) * q * 100, 0), (q, p)
+    assert spark.range(1).select(money.line_cents(F.lit(None).cast("int"), F.lit(None).cast("double"))).first()[0] is None
+
+
+def test_margins_of_any_digits_are_exact(spark):
+    rng = np.random.default_rng(6)
+    pairs = [(0.0000004, 0.0000001), (1.23456789, 1.2), (5.0, 4.0), (3.0, -1.5), (12345678901.25, 0.005)]
+    pairs += [
+        (float(Decimal(int(a)).scaleb(-d)), float(Decimal(int(b)).scaleb(-d)))
+        for a, b, d in zip(rng.integers(1, 10**9, 500), rng.integers(1, 10**9, 500), map(int, rng.integers(2, 12, 500)))
+    ]
+    frame = spark.createDataFrame(pairs, "p double, c double")
+    got = frame.select("p", "c", *money.margin(F.col("p"), F.col("c"))).collect()
+    for p, c, cents, share in got:
+        price, cost = Decimal(repr(p)), Decimal(repr(c))
+        assert cents == half_up((price - cost) * 100, 0), (p, c)
+        assert share == half_up((price - cost) / price * 100, 2), (p, c)
+    none = spark.range(1).select(*money.margin(F.lit(0.0), F.lit(0.0000000001))).first()
+    assert tuple(none) == (0, None)
