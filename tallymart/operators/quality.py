@@ -1,7 +1,8 @@
 """Data quality: named checks, column tests and their report.
 
 All checks on one table are computed by one aggregate, so a table is read once
-however many checks it has.
+however many checks it has.  Checks on a staged view become conditional counts on
+its raw table and join that table's aggregate.
 """
 
 from collections.abc import Callable, Mapping, Sequence
@@ -12,18 +13,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ORDER_STATUSES, PRODUCT_CATEGORIES
+from .staging import View
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 ERROR = "error"
 
 
+Field = Callable[[str], Column]
+
+
+@dataclass(frozen=True)
+class Figure:
+    """How many rows meet a condition, or how many distinct values there are.
+
+    ``value`` makes the condition or the value from the columns that a ``Field`` names.
+    """
+
+    value: Callable[[Field], Column]
+    distinct: bool = False
+
+    def over(self, field: Field, keep: Column | None = None) -> Column:
+        """The aggregate over a table, or over the rows of it that ``keep`` selects."""
+        value = self.value(field)
+        if keep is not None:
+            value = F.when(keep, value)
+        return F.count_distinct(value) if self.distinct else F.count_if(value)
+
+
 @dataclass(frozen=True)
 class Check:
     """A figure of one table and the condition it must meet."""
 
     name: str
     table: str
-    figure: Column
+    figure: Figure
     expect: Callable[[Column], Column]
 
 
@@ -38,9 +61,7 @@ def standard_checks(
     categories: int = 5,
 ) -> list[Check]:
     """The fourteen checks, in report order."""
-    rows = F.count(F.lit(1))
-    price, quantity = F.col("unit_price"), F.col("quantity")
-    margin, email = F.col("margin_pct"), F.col("email")
+    rows = Figure(lambda c: F.lit(True))
     return [
         Check(f"raw.orders row count > {min_orders}", "raw_orders", rows, lambda n: n > min_orders),
         Check(
@@ -52,78 +73,91 @@ def standard_checks(
         Check(
             "raw.orders has no null order_ids",
             "raw_orders",
-            F.count_if(F.col("order_id").isNull()),
+            Figure(lambda c: c("order_id").isNull()),
             _zero,
         ),
         Check(
-            "raw.orders unit_price always positive", "raw_orders", F.count_if(price <= 0), _zero
+            "raw.orders unit_price always positive",
+            "raw_orders",
+            Figure(lambda c: c("unit_price") <= 0),
+            _zero,
         ),
         Check(
-            "raw.orders quantity always positive", "raw_orders", F.count_if(quantity <= 0), _zero
+            "raw.orders quantity always positive",
+            "raw_orders",
+            Figure(lambda c: c("quantity") <= 0),
+            _zero,
         ),
         Check(
             "raw.orders status values are valid",
             "raw_orders",
-            F.count_if(~F.col("status").isin(*ORDER_STATUSES)),
+            Figure(lambda c: ~c("status").isin(*ORDER_STATUSES)),
             _zero,
         ),
         Check(
             "stg_orders line_revenue always positive",
             "stg_orders",
-            F.count_if(F.col("line_revenue") <= 0),
+            Figure(lambda c: c("line_revenue") <= 0),
             _zero,
         ),
         Check(
             "stg_customers emails are lowercase",
             "stg_customers",
-            F.count_if(email != F.lower(email)),
+            Figure(lambda c: c("email") != F.lower(c("email"))),
             _zero,
         ),
         Check(
             "stg_products margin_pct between 0 and 100",
             "stg_products",
-            F.count_if((margin < 0) | (margin > 100)),
+            Figure(lambda c: (c("margin_pct") < 0) | (c("margin_pct") > 100)),
             _zero,
         ),
         Check(
             "mart_daily_revenue has no negative revenue days",
             "mart_daily_revenue",
-            F.count_if(F.col("total_revenue") < 0),
+            Figure(lambda c: c("total_revenue") < 0),
             _zero,
         ),
         Check(
             f"mart_daily_revenue covers > {min_days} days",
             "mart_daily_revenue",
-            F.count_distinct("order_date"),
+            Figure(lambda c: c("order_date"), distinct=True),
             lambda n: n > min_days,
         ),
         Check(
             "mart_customer_lifetime total_revenue always positive",
             "mart_customer_lifetime",
-            F.count_if(F.col("total_revenue") < 0),
+            Figure(lambda c: c("total_revenue") < 0),
             _zero,
         ),
         Check(
             "mart_customer_lifetime no customer has 0 orders",
             "mart_customer_lifetime",
-            F.count_if(F.col("total_orders") == 0),
+            Figure(lambda c: c("total_orders") == 0),
             _zero,
         ),
         Check(
             f"mart_product_performance covers all {categories} categories",
             "mart_product_performance",
-            F.count_distinct("category"),
+            Figure(lambda c: c("category"), distinct=True),
             lambda n: n == categories,
         ),
     ]
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """``(position, check, result, status)``, one row per check."""
+def run_checks(
+    tables: Mapping[str, DataFrame], checks: Sequence[Check], views: Mapping[str, View] | None = None
+) -> DataFrame:
+    """``(position, check, result, status)``, one row per check.
+
+    A check on one of ``views`` whose source is among the tables is counted on the source.
+    """
+    views = {n: v for n, v in (views or {}).items() if v.source in tables}
+    read = {c: views[c.table].source if c.table in views else c.table for c in checks}
     parts = []
-    for table in dict.fromkeys(c.table for c in checks):
-        own = [(i, c) for i, c in enumerate(checks, start=1) if c.table == table]
-        figures = tables[table].agg(*[c.figure.alias(f"c{i}") for i, c in own])
+    for table in dict.fromkeys(read.values()):
+        own = [(i, c) for i, c in enumerate(checks, start=1) if read[c] == table]
+        figures = tables[table].agg(*[_figure(c, views).alias(f"c{i}") for i, c in own])
         rows = F.array(
             *[
                 F.struct(
@@ -139,6 +173,13 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
+def _figure(check: Check, views: Mapping[str, View]) -> Column:
+    view = views.get(check.table)
+    if view is None:
+        return check.figure.over(F.col)
+    return check.figure.over(view.columns.__getitem__, view.keep)
+
+
 def stamp(results: DataFrame) -> DataFrame:
     """Append the time of the run."""
     return results.withColumn("checked_at", F.current_timestamp())

@@ -1,5 +1,7 @@
 """Staging: typed, filtered views of the raw tables."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,56 +13,85 @@ def _typed(col: str, kind: str, strict: bool) -> Column:
     return F.col(col).cast(kind) if strict else F.col(col).try_cast(kind)
 
 
-def stage_orders(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Valid order lines with line revenue and a completion flag.
+@dataclass(frozen=True)
+class View:
+    """A staged view over one raw table: which rows it keeps, and its columns."""
 
-    ``strict=False`` turns unreadable dates into NULL instead of failing the job;
-    count them with :func:`reject_count`.
-    """
-    return raw.where(
+    source: str
+    keep: Column
+    columns: dict[str, Column]
+
+    def of(self, raw: DataFrame) -> DataFrame:
+        return raw.where(self.keep).select(*[c.alias(n) for n, c in self.columns.items()])
+
+
+def _same(*names: str) -> dict[str, Column]:
+    return {n: F.col(n) for n in names}
+
+
+def orders_view(strict: bool = True) -> View:
+    keep = (
         F.col("order_id").isNotNull()
         & F.col("customer_id").isNotNull()
         & (F.col("quantity") > 0)
         & (F.col("unit_price") > 0)
-    ).select(
-        "order_id",
-        "customer_id",
-        "product_id",
-        _typed("order_date", "date", strict).alias("order_date"),
-        "quantity",
-        "unit_price",
-        amount(line_cents(F.col("quantity"), F.col("unit_price"))).alias("line_revenue"),
-        "status",
-        F.coalesce(F.col("status") == COMPLETED, F.lit(False)).alias("is_completed"),
     )
+    columns = {
+        **_same("order_id", "customer_id", "product_id"),
+        "order_date": _typed("order_date", "date", strict),
+        **_same("quantity", "unit_price"),
+        "line_revenue": amount(line_cents(F.col("quantity"), F.col("unit_price"))),
+        **_same("status"),
+        "is_completed": F.coalesce(F.col("status") == COMPLETED, F.lit(False)),
+    }
+    return View("raw_orders", keep, columns)
+
+
+def customers_view(strict: bool = True) -> View:
+    columns = {
+        **_same("customer_id"),
+        "customer_name": F.col("name"),
+        "email": F.lower("email"),
+        **_same("city"),
+        "signup_date": _typed("signup_date", "date", strict),
+        **_same("acquisition_channel"),
+    }
+    return View("raw_customers", F.col("customer_id").isNotNull() & F.col("email").isNotNull(), columns)
+
+
+def products_view() -> View:
+    gross, share = margin(F.col("list_price"), F.col("cost_price"))
+    columns = {
+        **_same("product_id", "product_name", "category", "cost_price", "list_price"),
+        "gross_margin": amount(gross),
+        "margin_pct": share,
+    }
+    keep = F.col("product_id").isNotNull() & (F.col("list_price") > F.col("cost_price"))
+    return View("raw_products", keep, columns)
+
+
+def staged_rules() -> dict[str, View]:
+    """The staged views by name, for what is compiled down to the raw tables."""
+    return {"stg_orders": orders_view(), "stg_customers": customers_view(), "stg_products": products_view()}
+
+
+def stage_orders(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """Valid order lines with line revenue and a completion flag.
+
+    ``strict=False`` turns unreadable dates into NULL instead of failing the job;
+    count them with :func:`reject_count`.
+    """
+    return orders_view(strict).of(raw)
 
 
 def stage_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Customers with an id and an email; email in lower case."""
-    return raw.where(F.col("customer_id").isNotNull() & F.col("email").isNotNull()).select(
-        "customer_id",
-        F.col("name").alias("customer_name"),
-        F.lower("email").alias("email"),
-        "city",
-        _typed("signup_date", "date", strict).alias("signup_date"),
-        "acquisition_channel",
-    )
+    return customers_view(strict).of(raw)
 
 
 def stage_products(raw: DataFrame) -> DataFrame:
     """Products sold above cost, with margin in money and percent."""
-    gross, share = margin(F.col("list_price"), F.col("cost_price"))
-    return raw.where(
-        F.col("product_id").isNotNull() & (F.col("list_price") > F.col("cost_price"))
-    ).select(
-        "product_id",
-        "product_name",
-        "category",
-        "cost_price",
-        "list_price",
-        amount(gross).alias("gross_margin"),
-        share.alias("margin_pct"),
-    )
+    return products_view().of(raw)
 
 
 def stage_events(raw: DataFrame, strict: bool = True) -> DataFrame:

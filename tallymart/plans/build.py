@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from ..config import PRODUCT_CATEGORIES
 from ..operators import churn, forecast, kpis, marts, metrics, quality, segments
 from ..operators.enrich import enrich_orders
-from ..operators.staging import stage_customers, stage_events, stage_orders, stage_products
+from ..operators.staging import (
+    stage_customers,
+    stage_events,
+    stage_orders,
+    stage_products,
+    staged_rules,
+)
 from ..sources.warehouse import EXPORT_SCHEMAS, Warehouse, export_csv, write_quality_report
 
 # How the churn model did on its test rows, and its weights.
@@ -111,13 +117,16 @@ class RetailWarehouse:
         return {
             "raw_orders": raw["orders"],
             "raw_customers": raw["customers"],
+            "raw_products": raw["products"],
             **self.staged(),
             **{m: self.mart(m) for m in MARTS},
         }
 
     def check_quality(self, report_path: str | None = None, **limits) -> DataFrame:
         """The fourteen checks; optionally written as a JSON report."""
-        results = quality.run_checks(self.check_tables(), quality.standard_checks(**limits))
+        results = quality.run_checks(
+            self.check_tables(), quality.standard_checks(**limits), staged_rules()
+        )
         if report_path is not None:
             write_quality_report(results, report_path)
         return results

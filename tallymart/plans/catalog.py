@@ -179,7 +179,9 @@ class Retail:
     @cached_property
     def check_results(self):
         return quality.run_checks(
-            self.check_tables, quality.standard_checks(categories=len(STAR_CATEGORIES))
+            self.check_tables,
+            quality.standard_checks(categories=len(STAR_CATEGORIES)),
+            staging.staged_rules(),
         )
 
     @cached_property

@@ -71,23 +71,18 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer")
-    # The 25 nations as one map: a join would inflate the size estimate of the
-    # customers, and with it spoil the choice of a broadcast further on.
-    names = (
-        table(spark, folder, "nation")
-        .agg(F.map_from_entries(F.collect_list(F.struct("n_nationkey", "n_name"))))
-        .scalar()
-    )
+    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
     first = (
         table(spark, folder, "orders")
         .groupBy("o_custkey")
         .agg(F.min(F.col("o_orderdate").cast("date")).alias("first_date"))
     )
-    return customer.join(first, customer["c_custkey"] == first["o_custkey"], "left").select(
+    named = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left")
+    return named.join(first, customer["c_custkey"] == first["o_custkey"], "left").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("name"),
         F.concat("c_name", F.lit("@Example.com")).alias("email"),
-        F.try_element_at(names, F.col("c_nationkey")).alias("city"),
+        F.col("n_name").alias("city"),
         F.coalesce(F.date_sub("first_date", 1), F.to_date(F.lit(FIRST_DAY))).alias(
             "signup_date"
         ),

@@ -88,6 +88,20 @@ def test_each_table_is_read_once_for_its_checks(stored, spark):
     assert len(scans(quality.run_column_tests(stored, tests))) == 2
 
 
+def test_checks_on_staged_views_join_the_pass_over_the_raw_table(stored, spark, tmp_path):
+    from tallymart.operators import quality, staging
+
+    warehouse = Warehouse(spark, str(tmp_path))
+    rows = raw_tables(spark)
+    tables = {f"raw_{n}": warehouse.write(df, f"raw.{n}") for n, df in rows.items()} | stored
+    checks = [c for c in quality.standard_checks(min_orders=1) if not c.table.startswith("mart")]
+    compiled = quality.run_checks(tables, checks, staging.staged_rules())
+    assert len(scans(compiled)) == 3
+    apart = quality.run_checks(tables, checks)
+    assert len(scans(apart)) == 5
+    assert compiled.orderBy("position").collect() == apart.orderBy("position").collect()
+
+
 def test_weekly_tables_read_the_order_lines_once(stored):
     from tallymart.operators import kpis
 
