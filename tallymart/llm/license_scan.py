@@ -18,6 +18,7 @@ LEAST_COSINE = 0.6
 CUE = r"(?i)licen[cs]|copyright|spdx|warrant|redistribut|permission is hereby"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([.-][A-Za-z0-9.-]*)?$"
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
+CANDIDATE = ["path", "digest", "line"]
 
 # Names of licences and the customary notices.
 TEMPLATES = (
@@ -52,7 +53,11 @@ def _terms(text: Column) -> Column:
 
 
 def candidates(files: DataFrame) -> DataFrame:
-    """path, line, text: lines with a cue, and the whole text of licence files as line -1."""
+    """path, digest, line, text: lines with a cue, and the whole text of licence files as line -1.
+
+    The digest of the whole text tells rows apart that share a path; rows equal in both count
+    their terms together, which turns no vector.
+    """
     whole = F.when(
         F.col("path").rlike(LICENSE_FILE), F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("text")))
     ).otherwise(F.from_json(F.lit("[]"), "array<struct<line:int,text:string>>"))
@@ -61,8 +66,8 @@ def candidates(files: DataFrame) -> DataFrame:
     )
     cued = F.filter(lines, lambda s: s["text"].rlike(CUE))
     return files.where(F.col("text").rlike(CUE)).select(
-        "path", F.explode(F.concat(whole, cued)).alias("c")
-    ).select("path", "c.line", "c.text")
+        "path", F.xxhash64("text").alias("digest"), F.explode(F.concat(whole, cued)).alias("c")
+    ).select("path", "digest", "c.line", "c.text")
 
 
 def _weighted(terms: DataFrame, frequency: DataFrame, n: int) -> DataFrame:
@@ -77,8 +82,8 @@ def own_licenses(files: DataFrame) -> DataFrame:
     found = pin(candidates(files), "candidates")
     n = found.count()
     counted = (
-        found.select("path", "line", F.explode(_terms(F.col("text"))).alias("term"))
-        .groupBy("path", "line", "term")
+        found.select(*CANDIDATE, F.explode(_terms(F.col("text"))).alias("term"))
+        .groupBy(*CANDIDATE, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     counted = pin(counted, "terms")
@@ -102,15 +107,15 @@ def own_licenses(files: DataFrame) -> DataFrame:
     notice = F.broadcast(notice)  # as many rows as the templates have terms
 
     weighted = _weighted(counted, frequency, n)
-    sizes = weighted.groupBy("path", "line").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("size"))
+    sizes = weighted.groupBy(*CANDIDATE).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("size"))
     dots = (
         weighted.join(notice, F.col("term") == F.col("key"))
-        .groupBy("path", "line", "template", "license")
+        .groupBy(*CANDIDATE, "template", "license")
         .agg(F.sum(F.col("weight") * F.col("unit")).alias("dot"))
     )
     cosine = F.round(F.col("dot") / F.col("size"), 6)
     return (
-        dots.join(sizes, ["path", "line"])
+        dots.join(sizes, CANDIDATE)
         .withColumn("similarity", cosine)
         .where(F.col("similarity") >= LEAST_COSINE)
         .groupBy("path")
@@ -137,7 +142,7 @@ def scan_licenses(files: DataFrame) -> DataFrame:
     """path, license, how, similarity, inherited_from for each row of (path, text).
 
     ``how`` is own, inherited or none.  Paths are compared as they are; rows that repeat a path
-    share its best licence.  Null and empty texts have no licence of their own.  A null path
+    are judged one by one and share its best licence.  Texts of any length are read whole.  Null and empty texts have no licence of their own.  A null path
     can neither have nor inherit one.  Ties go to the licence first in the alphabet.
     """
     rows = files.select(F.col("path").cast("string"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

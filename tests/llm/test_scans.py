@@ -109,6 +109,17 @@ def test_license_similarity_is_the_tf_idf_cosine(spark):
     assert got == pytest.approx({p: s for p, s in best.items() if s >= license_scan.LEAST_COSINE}, abs=2e-6)
 
 
+def test_texts_under_one_path_are_not_mixed(spark):
+    notices = dict(reversed(license_scan.TEMPLATES))
+    files = [("a/LICENSE", notices["MIT"]), ("a/LICENSE", notices["GPL-2.0"]), ("a/LICENSE", notices["GPL-2.0"])]
+    files += [("a/x.py", "print(1)"), ("b/LICENSE", notices["MIT"]), ("b/LICENSE", "all rights reserved, no license")]
+    frame = spark.createDataFrame(files, "path string, text string")
+    own = {r.path: (r.license, r.similarity) for r in license_scan.own_licenses(frame).collect()}
+    assert own == {"a/LICENSE": ("GPL-2.0", 1.0), "b/LICENSE": ("MIT", 1.0)}  # a tie goes by the alphabet
+    got = Counter((r.path, r.license, r.how) for r in license_scan.scan_licenses(frame).collect())
+    assert got["a/LICENSE", "GPL-2.0", "own"] == 3 and got["a/x.py", "GPL-2.0", "inherited"] == 1
+
+
 def test_decontaminate(spark, docs, no_docs, prose):
     rng = random.Random(9)
     items = [(k, prose(rng.randint(20, 40))) for k in range(6)] + [(6, None), (7, ""), (None, prose(30)), (8, "too short")]
