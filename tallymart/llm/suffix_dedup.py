@@ -10,10 +10,12 @@ Documents are too long for one round per byte over the whole corpus.  So windows
 ``window`` bytes are dealt by their smallest hashed ``GRAM``-gram, which equal windows
 share: neighbouring windows with the same gram form one short string.  Strings with a
 gram that occurs once in the corpus need no construction.  The others meet in buckets, and the
-construction runs over some thousand strings at a time; Spark's shuffle files take the part of the
+construction runs over some hundred strings at a time; Spark's shuffle files take the part of the
 sequential external files.  Equal strings are one, of a chunk's only the earliest travels, and
-a string that is alone with its gram is not ordered.  Windows with equal first ``window`` bytes are neighbours in the
-order; the earliest one stays.  Only bytes are compared in the end, so hashes cannot err.
+a string that is alone with its gram is not ordered.  Of the others only the runs of windows whose
+hash occurs again among them are inserted, since a window with a hash of its own equals no other.
+Windows with equal first ``window`` bytes are neighbours in the order; the earliest one stays.
+Only bytes are compared in the end, so hashes cannot err.
 
 A gram with ``HEAVY`` strings or more (distinct ones, added up over the chunks) would gather too
 many in one bucket and one construction; its windows are dealt one by one by a hash of the whole
@@ -45,6 +47,7 @@ from .repeats import (
     total_bytes,
     with_answers,
 )
+from .substring_dedup import word_marks
 
 WINDOW = 100
 GRAM = 24
@@ -52,9 +55,12 @@ LONGEST_RUN = 64
 CHUNK_BYTES = 2 << 20
 HEAVY = 16384
 STRINGS = 512
+#: Strings whose windows are hashed at once; like STRINGS, more if one key has more.
+HASHED = 8192
 #: Counts that a key list's flags can name; others are rounded up, and the last is above HEAVY.
 LEVELS = np.unique(np.ceil(1.1 ** np.arange(160)).astype(np.int64))[:128]
 FAR = np.iinfo(np.int64).max
+BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 PIECES = "bucket int, chunk long, keys binary, sizes binary, blob binary, doc binary, no_doc binary, place binary, start binary, spans binary"
 SPANS = "chunk long, spans binary"
@@ -66,7 +72,7 @@ RESULT = f"doc_id long, n_bytes long, n_removed long, kept binary, spans {REMOVE
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of every gram, from hashes of 1, 2, 4, ... bytes."""
-    h, have, parts = mixed(data.astype(np.uint64) + np.uint64(1)), 1, []
+    h, have, parts = BYTES[data], 1, []
     factor = 0x9E3779B97F4A7C15
     while True:
         if size & have:
@@ -122,7 +128,11 @@ class Grams:
         around = np.concatenate((np.zeros(reach - 1, np.uint64), shown, np.zeros(reach - 1, np.uint64)))
         occurs = np.flatnonzero(sliding(around, reach, False) == grams)
         self.distinct, self.flags = sorted_keys(grams[occurs], np.zeros(len(occurs), np.uint8))
-        self.flags |= np.minimum(np.searchsorted(LEVELS, self._counts()), len(LEVELS) - 1).astype(np.uint8) << 1
+
+    def counted_flags(self) -> np.ndarray:
+        """The flags with the level of the number of strings, for keys that are sent."""
+        levels = np.searchsorted(LEVELS, self._counts())
+        return self.flags | np.minimum(levels, len(LEVELS) - 1).astype(np.uint8) << 1
 
     def _counts(self) -> np.ndarray:
         """The number of distinct strings of every distinct gram."""
@@ -130,13 +140,14 @@ class Grams:
         slot = np.searchsorted(self.distinct, keys)
         counts = np.bincount(slot, minlength=len(self.distinct))
         some = np.flatnonzero(counts[slot] > 1)
-        ends = first[some] + windows[some] + self.window - 1
-        strings = {
-            (k, xxhash.xxh3_64_intdigest(self.data[a:b].data))
-            for k, a, b in zip(slot[some].tolist(), first[some].tolist(), ends.tolist())
-        }
-        counts[slot[some]] = 0
-        np.add.at(counts, np.fromiter((k for k, _ in strings), np.int64, len(strings)), 1)
+        of, begin = slot[some], first[some]
+        marks = word_marks(self.data, begin, begin + windows[some] + self.window - 1)
+        order = np.lexsort((marks, of))
+        of, marks = of[order], marks[order]
+        new = np.ones(len(of), bool)
+        new[1:] = (of[1:] != of[:-1]) | (marks[1:] != marks[:-1])
+        counts[of] = 0
+        np.add.at(counts, of[new], 1)
         return counts
 
 
@@ -163,7 +174,7 @@ def _emit_grams(window: int, width: int, buckets: int):
     def run(batches):
         for row in chunk_rows(batches):
             grams = Grams(row, window, width)
-            yield key_batch(row["chunk"], grams.distinct, grams.flags, width, buckets)
+            yield key_batch(row["chunk"], grams.distinct, grams.counted_flags(), width, buckets)
 
     return run
 
@@ -373,6 +384,34 @@ def removed_windows(strings, rank, begin, window):
     return s, a, np.nonzero(steps == -1)[1]
 
 
+def key_groups(keys: np.ndarray, least: int):
+    """Ranges of at least ``least`` sorted keys, the last one apart; equal keys stay together."""
+    begin = 0
+    for end in [*(np.flatnonzero(np.diff(keys) != 0) + 1).tolist(), len(keys)]:
+        if end - begin >= least or end == len(keys) > begin:
+            yield begin, end
+            begin = end
+
+
+def repeated_runs(strings: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """String, first and end window of the runs of windows whose hash occurs twice or more."""
+    sizes = np.array([len(s) for s in strings], np.int64)
+    windows = sizes - window + 1
+    own = np.repeat(np.arange(len(strings)), windows)
+    place = np.arange(len(own)) - np.repeat(np.cumsum(windows) - windows, windows)
+    hashes = gram_hashes(np.frombuffer(b"".join(strings), np.uint8), window)
+    hashes = hashes[(np.cumsum(sizes) - sizes)[own] + place]
+    order = np.argsort(hashes)
+    equal = np.zeros(len(order) + 1, bool)
+    equal[1:-1] = hashes[order][1:] == hashes[order][:-1]
+    again = np.zeros(len(order) + 1, bool)
+    again[order] = equal[1:] | equal[:-1]
+    new = np.append(place, 0) == 0
+    heads = np.flatnonzero(again & (new | ~np.roll(again, 1)))
+    tails = np.flatnonzero(again[:-1] & (new[1:] | ~again[1:]))
+    return own[heads], place[heads], place[tails] + 1
+
+
 def repeats_inside(s: bytes, window: int) -> bool:
     """Whether two windows of a string may be equal.
 
@@ -437,18 +476,17 @@ def _construct(window: int):
         shared = np.empty(len(keys), bool)
         shared[by_key] = np.repeat(np.diff(np.append(edges, len(keys))) > 1, np.diff(np.append(edges, len(keys))))
         shared |= np.fromiter((repeats_inside(s, window) for s in strings), bool, len(strings))
-        # Some hundred strings at a time; strings of one key stay together.
         by_key = by_key[shared[by_key]]
-        edges = np.flatnonzero(np.diff(keys[by_key]) != 0) + 1
-        cuts = [0]
-        for e in [*edges, len(by_key)]:
-            if e - cuts[-1] >= STRINGS or e == len(by_key) > cuts[-1]:
-                cuts.append(int(e))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            numbers = by_key[a:b]
-            of = firsts[numbers]
-            string, x, y = removed_windows([strings[k] for k in numbers], rank[of], start[of], window)
-            remove(of[string], x, y)
+        for a, b in key_groups(keys[by_key], HASHED):
+            some = by_key[a:b]
+            at, head, tail = repeated_runs([strings[k] for k in some], window)
+            at = some[at]
+            # Some hundred runs at a time; those of one key stay together.
+            for c, d in key_groups(keys[at], STRINGS):
+                of = firsts[at[c:d]]
+                cut = [strings[k][x : y + window - 1] for k, x, y in zip(at[c:d], head[c:d], tail[c:d])]
+                run, x, y = removed_windows(cut, rank[of], start[of] + head[c:d], window)
+                remove(of[run], head[c:d][run] + x, head[c:d][run] + y)
         spans = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
         spans = spans[np.argsort(spans[:, 0], kind="stable")]
         edges = np.flatnonzero(np.diff(spans[:, 0], prepend=-1))

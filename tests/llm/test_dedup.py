@@ -1,7 +1,9 @@
 import hashlib
+import random
 from collections import Counter
 
 import brute
+import numpy as np
 import pytest
 
 from tallymart.llm import components, exact_dedup, simhash, substring_dedup, suffix_dedup
@@ -56,8 +58,6 @@ def test_simhash(docs, rows):
 @pytest.mark.parametrize("distance", [2, 4])
 def test_links_are_complete(spark, monkeypatch, bucket, distance):
     """Also with nearly all partition values crowded."""
-    import random
-
     rng = random.Random(bucket)
     centres = [rng.getrandbits(64) for _ in range(12)]
     values = {0}
@@ -99,8 +99,6 @@ def test_suffix_dedup(docs, rows, window, heavy):
 
 
 def test_suffix_order():
-    import random
-
     rng = random.Random(2)
     for kinds in ("a", "ab", "abcdefgh"):
         strings = ["".join(rng.choice(kinds) for _ in range(rng.randint(1, 40))).encode() for _ in range(9)]
@@ -119,6 +117,23 @@ def test_empty_table(no_docs, run):
     assert run(no_docs).collect() == []
 
 
+def test_suffix_runs_of_repeated_windows():
+    """Exactly the windows that occur twice among the strings are left, and keys stay together."""
+    chance, window = random.Random(5), 30
+    line = bytes(chance.choices(b"ab", k=70))
+    strings = [bytes(chance.choices(b"ab", k=chance.randrange(30, 50))) for _ in range(40)]
+    strings += [line, line[3:60], b"x" + line[:33] + b"y" + line[5:40], b"z" * 45, line[:30]]
+    places = [(k, a, s[a : a + window]) for k, s in enumerate(strings) for a in range(len(s) - window + 1)]
+    times = Counter(w for _, _, w in places)
+    found = suffix_dedup.repeated_runs(strings, window)
+    left = [(k, a) for k, x, y in zip(*found) for a in range(x, y)]
+    assert left == [(k, a) for k, a, w in places if times[w] > 1]
+    assert all(len(part) == 0 for part in suffix_dedup.repeated_runs([], window))
+    keys = np.array([1, 1, 1, 2, 5, 5, 9], np.uint64)
+    assert list(suffix_dedup.key_groups(keys, 2)) == [(0, 3), (3, 6), (6, 7)]
+    assert list(suffix_dedup.key_groups(keys[:0], 2)) == []
+
+
 def test_suffix_strings_of_a_common_line_are_split(prose):
     """A line between differing neighbours gives a string per document, but no large group."""
     import itertools
