@@ -1,9 +1,11 @@
 """Seekable Zstandard bundles of WARC records.
 
-Every record is a Zstandard frame of its own.  A bundle ends with the public seek table: a
-skippable frame with the compressed and the uncompressed size of every frame and a footer, so
-a reader that knows a record's frame, or only the seek table, decompresses nothing else.  The
-manifest maps record identifiers to bundle, frame and offset.
+Records are grouped into independent Zstandard frames of about ``FRAME_BYTES``, so that small and
+similar pages share their compression; a longer record makes its frame as long as it is.  A bundle
+ends with the public seek table: a skippable frame with the compressed and the uncompressed size of
+every frame and a footer, so a reader that knows a record's frame, or only the seek table,
+decompresses nothing else.  The manifest maps record identifiers to bundle, frame, the frame's
+place in the bundle and the record's offset inside the frame.
 
 Of records with equal payloads the response is the one with the largest identifier; others
 become revisits that refer to it.  Payloads are compared by length and SHA-1 in a grouping
@@ -27,6 +29,7 @@ from .common import raw_bytes, shuffle_partitions, slices
 
 LEVEL = 3
 BUNDLE_BYTES = 32 << 20
+FRAME_BYTES = 256 << 10
 BATCH_BYTES = 8 << 20
 LEAST_PAYLOAD = 1000
 
@@ -35,7 +38,9 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-MANIFEST = "page_id long, url string, bundle string, frame int, offset long, n_bytes long"
+MANIFEST = (
+    "page_id long, url string, bundle string, frame int, frame_offset long, offset long, n_bytes long"
+)
 RECORDS = (
     "bundle string, frame int, offset long, page_id long, record_type string, refers_to long, "
     "payload_digest string, payload_bytes long, payload binary"
@@ -73,14 +78,15 @@ def record_bytes(page_id, url, kind, refers_to, digest, length, payload: bytes)
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
-    head, _, rest = record.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
+def record_at(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
+    """Fields and block of the record that begins at ``at``, and where it ends."""
+    body = data.find(b"\r\n\r\n", at) + 4
+    lines = data[at : max(body - 4, at)].decode().split("\r\n")
     fields = dict(line.split(": ", 1) for line in lines[1:])
-    length = int(fields["Content-Length"])
-    if not lines[0].startswith("WARC/") or rest[length:] != b"\r\n\r\n":
+    end = body + int(fields.get("Content-Length", -1))
+    if not lines[0].startswith("WARC/") or end < body or data[end : end + 4] != b"\r\n\r\n":
         raise ValueError("not a whole WARC record")
-    return fields, rest[:length]
+    return fields, data[body:end], end + 4
 
 
 def seek_table(sizes: list[tuple[int, int]]) -> bytes:
@@ -109,24 +115,35 @@ def read_frame(bundle: bytes, frame: tuple[int, int, int]) -> bytes:
 
 
 class _Bundle:
-    """Collects frames and writes them with the seek table as one file."""
+    """Collects records in frames and writes them with the seek table as one file."""
 
-    def __init__(self, folder: str, name: str):
+    def __init__(self, folder: str, name: str, frame_bytes: int):
         self.store, self.path = fs.FileSystem.from_uri(folder)
         self.name, self.number, self.packer = name, 0, zstandard.ZstdCompressor(level=LEVEL)
+        self.frame_bytes = frame_bytes
         self._clear()
 
     def _clear(self):
         self.parts, self.sizes, self.rows, self.held = [], [], [], 0
+        self.open, self.filled = [], 0
 
     def add(self, page_id, url, record: bytes):
-        frame = self.packer.compress(record)
-        self.rows.append((page_id, url, len(self.sizes), self.held, len(record)))
-        self.parts.append(frame)
-        self.sizes.append((len(frame), len(record)))
-        self.held += len(frame)
+        self.rows.append((page_id, url, len(self.sizes), self.held, self.filled, len(record)))
+        self.open.append(record)
+        self.filled += len(record)
+        if self.filled >= self.frame_bytes:
+            self._end_frame()
+
+    def _end_frame(self):
+        if self.open:
+            frame = self.packer.compress(b"".join(self.open))
+            self.parts.append(frame)
+            self.sizes.append((len(frame), self.filled))
+            self.held += len(frame)
+            self.open, self.filled = [], 0
 
     def close(self) -> Iterator[pa.RecordBatch]:
+        self._end_frame()
         if not self.parts:
             return
         name = f"{self.name}-{self.number:05d}.warc.zst"
@@ -134,28 +151,29 @@ class _Bundle:
             for part in self.parts:
                 out.write(part)
             out.write(seek_table(self.sizes))
-        ids, urls, frames, offsets, sizes = map(list, zip(*self.rows))
+        ids, urls, frames, places, offsets, sizes = map(list, zip(*self.rows))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(ids, pa.int64()),
                 pa.array(urls, pa.string()),
                 pa.array([name] * len(ids), pa.string()),
                 pa.array(frames, pa.int32()),
+                pa.array(places, pa.int64()),
                 pa.array(offsets, pa.int64()),
                 pa.array(sizes, pa.int64()),
             ],
-            ["page_id", "url", "bundle", "frame", "offset", "n_bytes"],
+            ["page_id", "url", "bundle", "frame", "frame_offset", "offset", "n_bytes"],
         )
         self.number += 1
         self._clear()
 
 
-def _writer(folder: str, bundle_bytes: int):
+def _writer(folder: str, bundle_bytes: int, frame_bytes: int):
     def run(batches):
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        bundle = _Bundle(folder, f"part-{task.partitionId():06d}-{task.taskAttemptId()}")
+        bundle = _Bundle(folder, f"part-{task.partitionId():06d}-{task.taskAttemptId()}", frame_bytes)
         for batch in slices(batches, "html", BATCH_BYTES):
             payloads = raw_bytes(batch.column("html"))
             columns = ("page_id", "url", "record_type", "refers_to", "digest", "n_bytes")
@@ -211,13 +229,16 @@ def record_kinds(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     )
 
 
-def write_bundles(pages: DataFrame, folder: str, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
+def write_bundles(
+    pages: DataFrame, folder: str, bundle_bytes: int = BUNDLE_BYTES, frame_bytes: int = FRAME_BYTES
+) -> DataFrame:
     """Write bundles under ``folder`` (a URI that all executors reach) and store the manifest.
 
-    Returns the manifest as read back from ``folder/_manifest``.  No page gives no bundle.
+    Returns the manifest as read back from ``folder/_manifest``.  No page gives no bundle.  A page
+    of any length is one record in one frame, so it must fit a task's memory some five times.
     """
     spark = pages.sparkSession
-    manifest = record_kinds(pages).mapInArrow(_writer(folder, bundle_bytes), MANIFEST)
+    manifest = record_kinds(pages).mapInArrow(_writer(folder, bundle_bytes, frame_bytes), MANIFEST)
     manifest.write.parquet(f"{folder}/_manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
 
@@ -236,18 +257,21 @@ def _reader(folder: str):
 def _records(name: str, bundle: bytes) -> Iterator[pa.RecordBatch]:
     rows, held = [], 0
     for number, frame in enumerate(read_seek_table(bundle)):
-        fields, block = parse_record(read_frame(bundle, frame))
-        kind = fields["WARC-Type"]
-        digest = base64.b32decode(fields["WARC-Payload-Digest"].split(":", 1)[1]).hex()
-        length = int(fields["X-Payload-Length"])
-        if kind == "response" and (sha1_hex(block) != digest or len(block) != length):
-            raise ValueError(f"payload of frame {number} in {name} is damaged")
-        page, refers = _number(fields["X-Page-ID"]), _number(fields.get("X-Refers-To-Page-ID"))
-        rows.append((name, number, frame[0], page, kind, refers, digest, length, block))
-        held += len(block)
-        if held >= BATCH_BYTES:
-            yield _record_batch(rows)
-            rows, held = [], 0
+        data, at = read_frame(bundle, frame), 0
+        while at < len(data):
+            offset = at
+            fields, block, at = record_at(data, at)
+            kind = fields["WARC-Type"]
+            digest = base64.b32decode(fields["WARC-Payload-Digest"].split(":", 1)[1]).hex()
+            length = int(fields["X-Payload-Length"])
+            if kind == "response" and (sha1_hex(block) != digest or len(block) != length):
+                raise ValueError(f"payload at {offset} of frame {number} in {name} is damaged")
+            page, refers = _number(fields["X-Page-ID"]), _number(fields.get("X-Refers-To-Page-ID"))
+            rows.append((name, number, offset, page, kind, refers, digest, length, block))
+            held += len(block)
+            if held >= BATCH_BYTES:
+                yield _record_batch(rows)
+                rows, held = [], 0
     if rows:
         yield _record_batch(rows)
 
@@ -268,13 +292,13 @@ def read_bundles(manifest: DataFrame, folder: str) -> DataFrame:
     return names.mapInArrow(_reader(folder), RECORDS)
 
 
-def read_record(folder: str, bundle: str, offset: int) -> tuple[dict[str, str], bytes]:
-    """One record by its manifest entry, without reading the rest of the bundle."""
+def read_record(folder: str, bundle: str, frame_offset: int, offset: int) -> tuple[dict[str, str], bytes]:
+    """One record by its manifest entry; of the bundle only the record's frame is decompressed."""
     store, root = fs.FileSystem.from_uri(folder)
     with store.open_input_file(f"{root}/{bundle}") as file:
-        file.seek(offset)
+        file.seek(frame_offset)
         reader = zstandard.ZstdDecompressor().stream_reader(file, read_across_frames=False)
-        return parse_record(reader.read())
+        return record_at(reader.read(), offset)[:2]
 
 
 def round_trip(pages: DataFrame, folder: str) -> DataFrame:

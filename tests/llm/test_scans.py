@@ -247,22 +247,47 @@ def test_warc_round_trip(spark, tmp_path):
              (5, "u", None), (None, "u", page), (6, "u", "y" * 999), (7, "u", "y" * 999), (9, None, page)]
     frame = spark.createDataFrame([(*p, "z") for p in pages], "page_id long, url string, html string, newest string")
     folder = f"file://{tmp_path}/w"
-    manifest = warc_bundles.write_bundles(frame, folder, bundle_bytes=200)
+    manifest = warc_bundles.write_bundles(frame, folder, bundle_bytes=200, frame_bytes=1500)
     got = {(r.page_id, r.record_type, r.refers_to) for r in warc_bundles.read_bundles(manifest, folder).collect()}
     assert got == {(1, "revisit", 9), (2, "revisit", 9), (9, "response", None), (3, "response", None), (4, "response", None),
                    (5, "response", None), (None, "response", None), (6, "response", None), (7, "response", None)}
-    entry = manifest.where("page_id = 3").first()
-    fields, block = warc_bundles.read_record(folder, entry.bundle, entry.offset)
-    assert block == b"small" and fields["X-Page-ID"] == "3"
+    for entry in manifest.where("page_id in (3, 4, 6)").collect():
+        fields, block = warc_bundles.read_record(folder, entry.bundle, entry.frame_offset, entry.offset)
+        assert block == (b"y" * 999 if entry.page_id == 6 else b"small") and fields["X-Page-ID"] == str(entry.page_id)
     assert warc_bundles.round_trip(frame.limit(0), f"file://{tmp_path}/none").collect() == []
 
 
+def test_warc_records_share_frames(spark, tmp_path):
+    """Frames hold many records, a long one ends its frame, and places agree with the seek table."""
+    html = F.when(F.col("id") == 30, F.repeat(F.lit("long "), 100_000)).otherwise(F.concat(F.lit("<p>same words, "), "id"))
+    pages = spark.range(0, 90, 1, 2).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+    sizes = {}
+    for frame_bytes in (1, 5000):
+        folder = f"file://{tmp_path}/frames{frame_bytes}"
+        rows = warc_bundles.write_bundles(pages, folder, frame_bytes=frame_bytes).collect()
+        assert sorted(r.page_id for r in rows) == list(range(90))
+        for name in {r.bundle for r in rows}:
+            bundle = (tmp_path / f"frames{frame_bytes}" / name).read_bytes()
+            frames = warc_bundles.read_seek_table(bundle)
+            sizes[frame_bytes] = sizes.get(frame_bytes, 0) + len(bundle)
+            held = [sum(r.bundle == name and r.frame == k for r in rows) for k in range(len(frames))]
+            assert min(held) >= 1 and (max(held) == 1) == (frame_bytes == 1)
+            for r in (r for r in rows if r.bundle == name):
+                assert frames[r.frame][0] == r.frame_offset and r.offset + r.n_bytes <= frames[r.frame][2]
+        for r in rows:
+            fields, block = warc_bundles.read_record(folder, r.bundle, r.frame_offset, r.offset)
+            assert fields["X-Page-ID"] == str(r.page_id) and len(block) == int(fields["X-Payload-Length"])
+    assert sizes[5000] < sizes[1] / 2
+    with pytest.raises(ValueError, match="whole"):
+        warc_bundles.record_at(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nshort\r\n\r\n", 0)
+
+
 def test_warc_bundles_are_read_by_many_tasks(spark, tmp_path):
     pages = spark.range(0, 400, 1, 20).select(
         F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.md5(F.col("id").cast("string")), F.lit(40)).alias("html")
     )
     folder = f"file://{tmp_path}/many"
-    manifest = warc_bundles.write_bundles(pages, folder, bundle_bytes=20_000)
+    manifest = warc_bundles.write_bundles(pages, folder, bundle_bytes=20_000, frame_bytes=2_000)
     assert manifest.select("bundle").distinct().count() >= 14
     got = warc_bundles.read_bundles(manifest, folder).select(F.spark_partition_id().alias("task")).groupBy("task").count()
     assert got.count() >= 5 and got.agg(F.sum("count")).first()[0] == 400
