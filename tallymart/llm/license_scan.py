@@ -1,7 +1,8 @@
 """License scans: TF-IDF cosine to templates, then inheritance from the nearest directory.
 
-Candidates are all lines of a file that speak of licensing, and for licence files the whole
-text as well.  Document frequencies come from all candidates.  A candidate's vector meets the
+Candidates are all lines of a file that speak of licensing, the blocks of several lines between lines
+without a letter or digit that do, so that a wrapped notice is judged whole, and for licence files
+the whole text as well.  Document frequencies come from all candidates.  A candidate's vector meets the
 templates' in a join by term; only the templates, whose number is fixed, are broadcast.
 
 A file without a licence of its own takes that of the nearest ancestor directory, its own
@@ -18,9 +19,19 @@ LEAST_COSINE = 0.6
 CUE = r"(?i)licen[cs]|copyright|spdx|warrant|redistribut|permission is hereby"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([.-][A-Za-z0-9.-]*)?$"
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
+#: Between blocks; possessive, since Java recurses for every repetition of a group otherwise.
+BETWEEN_BLOCKS = r"\n(?:[^\p{L}\p{N}\n]*+\n)++"
 CANDIDATE = ["path", "digest", "line"]
 
 # Names of licences and the customary notices.
+BSD_CONDITIONS = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+BSD_THIRD = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+BSD_DISCLAIMER = ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
+ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+ISC_DISCLAIMER = ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'
+MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+MIT_REST = ' The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
+APACHE_NOTICE = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
@@ -36,7 +47,23 @@ TEMPLATES = (
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", BSD_CONDITIONS + BSD_THIRD),
+    ("BSD-3-Clause", BSD_CONDITIONS + BSD_THIRD + BSD_DISCLAIMER),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-2-Clause", BSD_CONDITIONS),
+    ("BSD-2-Clause", BSD_CONDITIONS + BSD_DISCLAIMER),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("ISC", "Released under the ISC License."),
+    ("ISC", ISC_GRANT),
+    ("ISC", ISC_GRANT + ISC_DISCLAIMER),
+    ("MIT", MIT_GRANT),
+    ("MIT", MIT_GRANT + MIT_REST),
+    ("Apache-2.0", APACHE_NOTICE),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -53,7 +80,9 @@ def _terms(text: Column) -> Column:
 
 
 def candidates(files: DataFrame) -> DataFrame:
-    """path, digest, line, text: lines with a cue, and the whole text of licence files as line -1.
+    """path, digest, line, text: lines and blocks with a cue, and the whole text of licence files.
+
+    A block, which has two lines at least, counts as line -2, -3, ..., a whole text as line -1.
 
     The digest of the whole text tells rows apart that share a path; rows equal in both count
     their terms together, which turns no vector.
@@ -65,8 +94,12 @@ def candidates(files: DataFrame) -> DataFrame:
         F.split("text", "\n", -1), lambda t, k: F.struct(k.alias("line"), t.alias("text"))
     )
     cued = F.filter(lines, lambda s: s["text"].rlike(CUE))
+    blocks = F.transform(
+        F.split("text", BETWEEN_BLOCKS, -1), lambda t, k: F.struct((-2 - k).alias("line"), t.alias("text"))
+    )
+    wrapped = F.filter(blocks, lambda s: s["text"].contains("\n") & s["text"].rlike(CUE))
     return files.where(F.col("text").rlike(CUE)).select(
-        "path", F.xxhash64("text").alias("digest"), F.explode(F.concat(whole, cued)).alias("c")
+        "path", F.xxhash64("text").alias("digest"), F.explode(F.concat(whole, cued, wrapped)).alias("c")
     ).select("path", "digest", "c.line", "c.text")
 
 

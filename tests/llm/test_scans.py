@@ -109,6 +109,24 @@ def test_license_similarity_is_the_tf_idf_cosine(spark):
     assert got == pytest.approx({p: s for p, s in best.items() if s >= license_scan.LEAST_COSINE}, abs=2e-6)
 
 
+def test_near_licenses_are_told_apart(spark):
+    """Whole texts, headers over several lines in comments, and very many empty lines."""
+    from textwrap import fill
+
+    scan, last = license_scan, {}
+    for name, text in scan.TEMPLATES:
+        if len(text) > len(last.get(name, "")):
+            last[name] = text
+    names = ["MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "GPL-2.0", "Apache-2.0"]
+    files = [(f"{n}/LICENSE", "Copyright (c) 2021 Some One\n\n" + fill(last[n], 70)) for n in names]
+    header = "#!/bin/sh\n#\n{}\n#\nimport os\n\ndef f():\n    return 1\n"
+    files += [(f"src/{n}.py", header.format("\n".join("# " + t for t in fill(last[n], 60).split("\n")))) for n in names]
+    files += [("far.py", fill(last["AGPL-3.0"], 60) + "\n" * 100_000 + "print()"), ("none.py", "no\nlicense\nis meant here")]
+    frame = spark.createDataFrame(files, "path string, text string")
+    got = {r.path: r.license for r in scan.own_licenses(frame).collect()}
+    assert got == {f"{n}/LICENSE": n for n in names} | {f"src/{n}.py": n for n in names} | {"far.py": "AGPL-3.0"}
+
+
 def test_texts_under_one_path_are_not_mixed(spark):
     notices = dict(reversed(license_scan.TEMPLATES))
     files = [("a/LICENSE", notices["MIT"]), ("a/LICENSE", notices["GPL-2.0"]), ("a/LICENSE", notices["GPL-2.0"])]
