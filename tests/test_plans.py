@@ -1,12 +1,15 @@
 """What the physical plans of the registered queries must and must not hold."""
 
+from datetime import datetime
+
 import pytest
 from fixtures import raw_tables
 from pyspark.sql import functions as F
 
 from tallymart.operators import enrich, marts, staging
 from tallymart.plans.build import staging_views
-from tallymart.plans.catalog import registered
+from tallymart.plans.catalog import Retail, registered
+from tallymart.sources import star
 from tallymart.sources.warehouse import Warehouse
 
 # Queries that fit a model or run a stream before they return.
@@ -102,6 +105,75 @@ def test_checks_on_staged_views_join_the_pass_over_the_raw_table(stored, spark,
     assert compiled.orderBy("position").collect() == apart.orderBy("position").collect()
 
 
+@pytest.fixture(scope="module")
+def star_folder(spark, tmp_path_factory):
+    """Star tables with repeated, unknown and missing keys."""
+    folder = str(tmp_path_factory.mktemp("star"))
+    day = datetime(1998, 5, 1)
+    rows = {
+        "customer": [
+            (1, "Ann", 1, 0.0, "A"),
+            (2, "Bob", 1, 0.0, "B"),
+            (2, "Bob", 1, 0.0, "B"),
+            (None, "Cy", 1, 0.0, "B"),
+        ],
+        "nation": [(1, "India", 1)],
+        "part": [
+            (1, "Lamp", "b", "SMALL", 1, 10.0),
+            (2, "Mug", "b", "LARGE", 2, 5.55),
+            (2, "Mug", "b", "LARGE", 2, 5.55),
+        ],
+        "orders": [
+            (1, 1, "O", 1.0, day, "1"),
+            (2, 2, "O", 1.0, day, "1"),
+            (3, 9, "O", 1.0, None, "1"),
+            (3, 8, "O", 1.0, day, "1"),
+        ],
+        "lineitem": [
+            (o, p, 1, n, q, 1.0, d, 0.0, f, "O", day)
+            for o, p, n, q, d, f in [
+                (1, 1, 1, 2.0, 0.05, "N"),
+                (1, 2, 2, 3.0, 0.01, "N"),
+                (2, 2, 1, 1.0, 0.0, "R"),
+                (3, 7, 1, 1.0, 0.1, "A"),
+                (3, 1, 2, 4.0, 0.1, "N"),
+                (4, 1, 1, 0.0, 0.1, "N"),
+                (None, 1, 1, 5.0, 0.02, None),
+            ]
+        ],
+    }
+    for name, found in rows.items():
+        spark.createDataFrame(found, star.SCHEMAS[name]).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def lineitem_reads(df):
+    return [line for line in scans(df) if "l_orderkey" in line]
+
+
+@pytest.mark.parametrize("name", ["quality_checks"])
+def test_checks_join_the_order_lines_once(spark, star_folder, name):
+    assert not lineitem_reads(registered()[name](spark, star_folder))  # they read the stored join
+
+
+def test_checks_over_stored_order_lines_equal_those_over_each_join(spark, star_folder):
+    from tallymart.operators import quality
+
+    t = Retail(spark, star_folder)
+    apart = t.check_tables | {
+        "raw_orders": t.raw_orders,
+        "stg_orders": t.orders,
+        "mart_daily_revenue": t.daily,
+        "mart_customer_lifetime": t.lifetime,
+        "mart_product_performance": t.performance,
+    }
+    checks = quality.standard_checks(categories=2)
+    expected = quality.run_checks(apart, checks, staging.staged_rules())
+    assert len(lineitem_reads(expected)) == 4
+    found = quality.run_checks(t.check_tables, checks, staging.staged_rules())
+    assert sorted(found.collect()) == sorted(expected.collect())
+
+
 def test_weekly_tables_read_the_order_lines_once(stored):
     from tallymart.operators import kpis
 
