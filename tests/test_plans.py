@@ -151,7 +151,7 @@ def lineitem_reads(df):
     return [line for line in scans(df) if "l_orderkey" in line]
 
 
-@pytest.mark.parametrize("name", ["quality_checks"])
+@pytest.mark.parametrize("name", ["quality_checks", "quality_totals"])
 def test_checks_join_the_order_lines_once(spark, star_folder, name):
     assert not lineitem_reads(registered()[name](spark, star_folder))  # they read the stored join
 
