@@ -79,5 +79,5 @@ def pin(df: DataFrame, label: str = "pin") -> DataFrame:
     """
     spark = df.sparkSession
     folder = scratch_folder(spark, label)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

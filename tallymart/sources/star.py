@@ -43,6 +43,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order line.
+
+    The lines meet their part first, so that the second shuffle carries a price and no order
+    columns, and come out of the join with their orders in order of the order key.
+    """
     line = table(spark, folder, "lineitem")
     head = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = table(spark, folder, "part").select("p_partkey", "p_retailprice")
@@ -54,18 +59,22 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("l_returnflag") == "R", "returned")
         .when(F.col("l_returnflag") == "A", "pending")
     )
-    return (
-        line.join(head, line["l_orderkey"] == head["o_orderkey"], "left")
-        .join(part, line["l_partkey"] == part["p_partkey"], "left")
-        .select(
-            F.concat(F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            amount(price).alias("unit_price"),
-            status.alias("status"),
-        )
+    priced = line.join(part, line["l_partkey"] == part["p_partkey"], "left").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        F.col("l_quantity").cast("int").alias("quantity"),
+        price.alias("price"),
+        "l_returnflag",
+    )
+    return priced.join(head, priced["l_orderkey"] == head["o_orderkey"], "left").select(
+        F.concat(F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        "quantity",
+        amount(F.col("price")).alias("unit_price"),
+        status.alias("status"),
     )
 
 

@@ -156,6 +156,34 @@ def test_checks_join_the_order_lines_once(spark, star_folder, name):
     assert not lineitem_reads(registered()[name](spark, star_folder))  # they read the stored join
 
 
+def test_order_lines_meet_their_part_before_their_order(spark, star_folder):
+    joins = [line for line in physical(star.raw_orders(spark, star_folder)).splitlines() if "Join" in line]
+    assert len(joins) == 2
+    assert "l_orderkey" in joins[0] and "l_partkey" in joins[1]  # the upper join is printed first
+
+
+def test_raw_orders_of_repeated_unknown_and_missing_keys(spark, star_folder):
+    day = datetime(1998, 5, 1).date()
+    expected = [
+        ("1-1", 1, 1, day, 2, 9.5, "completed"),
+        *[("1-2", 1, 2, day, 3, 5.49, "completed")] * 2,  # part 2 comes twice
+        *[("2-1", 2, 2, day, 1, 5.55, "returned")] * 2,
+        ("3-1", 9, 7, None, 1, None, "pending"),  # order 3 comes twice, part 7 is unknown
+        ("3-1", 8, 7, day, 1, None, "pending"),
+        ("3-2", 9, 1, None, 4, 9.0, "completed"),
+        ("3-2", 8, 1, day, 4, 9.0, "completed"),
+        ("4-1", None, 1, None, 0, 9.0, "completed"),
+        (None, None, 1, None, 5, 9.8, None),
+    ]
+    found = [tuple(r) for r in star.raw_orders(spark, star_folder).collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+
+
+def test_stored_tables_are_packed(spark, star_folder):
+    files = Retail(spark, star_folder).orders_table.inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_checks_over_stored_order_lines_equal_those_over_each_join(spark, star_folder):
     from tallymart.operators import quality
 
