@@ -14,6 +14,8 @@ construction runs over some hundred strings at a time; Spark's shuffle files tak
 sequential external files.  Equal strings are one, of a chunk's only the earliest travels, and
 a string that is alone with its gram is not ordered.  Of the others only the runs of windows whose
 hash occurs again among them are inserted, since a window with a hash of its own equals no other.
+Equal runs are one too: the earliest is inserted, the others go whole, which is repeated while it
+takes a sixteenth of the windows or more.
 Windows with equal first ``window`` bytes are neighbours in the order; the earliest one stays.
 Only bytes are compared in the end, so hashes cannot err.
 
@@ -22,6 +24,8 @@ many in one bucket and one construction; its windows are dealt one by one by a h
 window instead, so that a key has fewer than ``HEAVY`` strings.
 """
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -56,7 +60,9 @@ CHUNK_BYTES = 2 << 20
 HEAVY = 16384
 STRINGS = 512
 #: Strings whose windows are hashed at once; like STRINGS, more if one key has more.
-HASHED = 8192
+HASHED = 2048
+#: Neighbours that are hashed or compared at once: their arrays stay in a core's cache.
+BLOCK = 1 << 15
 #: Counts that a key list's flags can name; others are rounded up, and the last is above HEAVY.
 LEVELS = np.unique(np.ceil(1.1 ** np.arange(160)).astype(np.int64))[:128]
 FAR = np.iinfo(np.int64).max
@@ -70,8 +76,20 @@ RESULT = f"doc_id long, n_bytes long, n_removed long, kept binary, spans {REMOVE
 # Windows of a chunk and their grams.
 
 
+def in_blocks(run: Callable, values: np.ndarray, size: int) -> np.ndarray:
+    """``run``, which makes one number of every ``size`` neighbours, block by block."""
+    n = len(values) - size + 1
+    if n <= BLOCK:
+        return run(values)
+    return np.concatenate([run(values[a : min(a + BLOCK, n) + size - 1]) for a in range(0, n, BLOCK)])
+
+
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of every gram, from hashes of 1, 2, 4, ... bytes."""
+    return in_blocks(lambda part: _gram_hashes(part, size), data, size)
+
+
+def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     h, have, parts = BYTES[data], 1, []
     factor = 0x9E3779B97F4A7C15
     while True:
@@ -93,6 +111,10 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
 
 def sliding(values: np.ndarray, size: int, least: bool) -> np.ndarray:
     """Minimum or maximum of every ``size`` neighbours, by doubling."""
+    return in_blocks(lambda part: _sliding(part, size, least), values, size)
+
+
+def _sliding(values: np.ndarray, size: int, least: bool) -> np.ndarray:
     pick, have = (np.minimum if least else np.maximum), 1
     while have * 2 <= size:
         values = pick(values[:-have], values[have:])
@@ -205,7 +227,10 @@ def _unpacked(packed: bytes, kind) -> np.ndarray:
 
 def chunk_strings(grams: Grams, marks: np.ndarray):
     """(key, first window, windows) of the strings that repeated grams give."""
-    mark = marks_at(grams.least, grams.distinct, marks)
+    new = np.append(True, grams.least[1:] != grams.least[:-1])[: len(grams.least)]
+    heads = np.flatnonzero(new)
+    mark = marks_at(grams.least[heads], grams.distinct, marks)
+    mark = np.repeat(mark, np.diff(np.append(heads, len(new))))
     kept = np.flatnonzero(mark > 0)
     first, keys, windows, apart = runs(grams.at[kept], grams.least[kept], mark[kept] == 2)
     keys = keys.copy()
@@ -412,6 +437,16 @@ def repeated_runs(strings: list[bytes], window: int) -> tuple[np.ndarray, np.nda
     return own[heads], place[heads], place[tails] + 1
 
 
+def later_copies(strings: list[bytes], rank: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Which strings have an equal one that occurs earlier."""
+    known: dict[bytes, int] = {}
+    number = np.fromiter((known.setdefault(s, len(known)) for s in strings), np.int64, len(strings))
+    order = np.lexsort((begin, rank, number))
+    later = np.zeros(len(strings), bool)
+    later[order[1:]] = number[order[1:]] == number[order[:-1]]
+    return later
+
+
 def repeats_inside(s: bytes, window: int) -> bool:
     """Whether two windows of a string may be equal.
 
@@ -478,15 +513,23 @@ def _construct(window: int):
         shared |= np.fromiter((repeats_inside(s, window) for s in strings), bool, len(strings))
         by_key = by_key[shared[by_key]]
         for a, b in key_groups(keys[by_key], HASHED):
-            some = by_key[a:b]
-            at, head, tail = repeated_runs([strings[k] for k in some], window)
-            at = some[at]
+            at = by_key[a:b]
+            cut, head = [strings[k] for k in at], np.zeros(len(at), np.int64)
+            while True:
+                own, x, y = repeated_runs(cut, window)
+                cut = [cut[k][i : j + window - 1] for k, i, j in zip(own, x, y)]
+                at, head, of = at[own], head[own] + x, firsts[at[own]]
+                # Equal runs are one as well, and without the others fewer windows have an equal.
+                # The order finds the last few copies too, so they are worth no further round.
+                later = later_copies(cut, rank[of], start[of] + head)
+                if (y - x)[later].sum() * 16 <= (y - x).sum():
+                    break
+                remove(of[later], head[later], head[later] + (y - x)[later])
+                at, head, cut = at[~later], head[~later], [cut[k] for k in np.flatnonzero(~later)]
             # Some hundred runs at a time; those of one key stay together.
             for c, d in key_groups(keys[at], STRINGS):
-                of = firsts[at[c:d]]
-                cut = [strings[k][x : y + window - 1] for k, x, y in zip(at[c:d], head[c:d], tail[c:d])]
-                run, x, y = removed_windows(cut, rank[of], start[of] + head[c:d], window)
-                remove(of[run], head[c:d][run] + x, head[c:d][run] + y)
+                run, x, y = removed_windows(cut[c:d], rank[of[c:d]], start[of[c:d]] + head[c:d], window)
+                remove(of[c:d][run], head[c:d][run] + x, head[c:d][run] + y)
         spans = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
         spans = spans[np.argsort(spans[:, 0], kind="stable")]
         edges = np.flatnonzero(np.diff(spans[:, 0], prepend=-1))

@@ -176,6 +176,46 @@ def test_suffix_strings_of_a_common_line_are_split(prose):
     assert removed == Counter(r[:4] for r in brute.suffix(rows, window))
 
 
+def test_suffix_equal_runs_are_ordered_once(prose, monkeypatch):
+    """Of a line between differing neighbours one run is inserted, not one per document."""
+    import pyarrow as pa
+
+    sd, window = suffix_dedup, 100
+    line = "a line of more than a hundred bytes that very many of the documents hold, and each of them with other neighbours"
+    rows = [(k, prose(20) + line[k % 3 :] + prose(20)) for k in range(150)] + [(None, line), (7, line + prose(9) + line)]
+    texts, inserted, order = [t.encode() for _, t in rows], [], sd.suffix_order
+    monkeypatch.setattr(sd, "chunk_rows", list)
+    monkeypatch.setattr(sd, "suffix_order", lambda strings: inserted.extend(strings) or order(strings))
+    row = {"chunk": 0, "ids": [d for d, _ in rows], "sizes": [len(t) for t in texts], "data": b"".join(texts)}
+    keys = pa.Table.from_batches(sd._emit_grams(window, 40, 1)([row]))
+    said = sd.answers.__globals__["answer"](keys, sd._marks(sd.HEAVY), sd._added).to_pylist()
+    pieces = pa.Table.from_batches(sd._emit_strings(window, 40, 1)([row | {"grams": said}]))
+    spans = sd._construct(window)(pieces).column("spans").to_pylist()
+    assert 0 < len(inserted) < 30
+    (out,) = sd._remove([row | {"spans": spans}])
+    removed = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"])) for r in out.to_pylist())
+    assert removed == Counter(r[:4] for r in brute.suffix(rows, window))
+
+
+def test_later_copies():
+    strings, none = [b"ab", b"b", b"ab", b"ab", b"b"], np.zeros(0, np.int64)
+    later = suffix_dedup.later_copies(strings, np.array([1, 0, 0, 1, 3]), np.array([5, 0, 9, 2, 0]))
+    assert later.tolist() == [True, False, False, True, True]
+    assert suffix_dedup.later_copies([], none, none).tolist() == []
+
+
+@pytest.mark.parametrize("size", [1, 5, 24, 100])
+@pytest.mark.parametrize("n", [0, 1, 23, 24, 99, 100, 101, 300])
+def test_blocks_change_no_number(monkeypatch, n, size):
+    data = np.frombuffer(random.Random(n).randbytes(n), np.uint8)
+    whole = suffix_dedup.gram_hashes(data, size)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 7)
+    assert suffix_dedup.gram_hashes(data, size).tolist() == whole.tolist()
+    found = [int(data[a : a + size].min()) for a in range(n - size + 1)]
+    if found:
+        assert suffix_dedup.sliding(data, size, True).tolist() == found
+
+
 @pytest.mark.parametrize("run, window", [(substring_dedup, 8), (suffix_dedup, 60)])
 def test_kept_texts_and_spans(docs, rows, run, window):
     """The texts come out, and the spans say what is missing from them."""
