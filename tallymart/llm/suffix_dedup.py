@@ -305,11 +305,9 @@ def _emit_strings(window: int, width: int, buckets: int):
 
 
 def _least_between(prefix: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """min(prefix[a+1 .. b]) for every pair a < b."""
-    n = b - a
-    ends = np.cumsum(n)
-    at = np.arange(ends[-1]) + np.repeat(a + 1 - ends + n, n)
-    return np.minimum.reduceat(prefix[at], ends - n)
+    """min(prefix[a+1 .. b]) for every pair a < b; ``prefix`` has a number after the last b."""
+    # What lies between two pairs is reduced as well and skipped.
+    return np.minimum.reduceat(prefix, np.stack((a, b), 1).ravel() + 1)[::2]
 
 
 def suffix_order(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -363,7 +361,7 @@ def suffix_order(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
         new_prefix[touched] = 0
         same = (own >> 32 == other >> 32) & (own >= 0)
         if same.any():
-            least = _least_between(prefix, other[same] & low, own[same] & low)
+            least = _least_between(prefixes[length % 2 - 1][: n + 1], other[same] & low, own[same] & low)
             new_prefix[touched[same]] = least + 1
         # Places of the rests move as well.
         rest = new_key[m:]
